@@ -68,6 +68,7 @@ def merge_ordered_in_pandas(left: DataFrame, right: DataFrame, on: list[str], sc
     no group grows with the number of rows of one id.
     """
     left, right = materialize(left), materialize(right)
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])  # columns of its own, not shared with left
     groups = max(1, -(-(left.count() + right.count()) // group_rows))
     bucket = F.pmod(F.xxhash64(*on), F.lit(groups)).alias("_bucket")
 

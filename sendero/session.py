@@ -70,10 +70,10 @@ def _plans_fixed(spark: SparkSession):
 
 
 def materialize_by(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """``materialize`` hash-partitioned by ``keys``, so that later joins on them move only the other side.
+    """``materialize`` hash-partitioned and sorted by ``keys``: later joins on them move and sort only the other side.
 
-    A checkpoint remembers its partitioning only if its plan was fixed before it ran, hence the switch.
+    A checkpoint remembers its layout only if its plan was fixed before it ran, hence the switch.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with _plans_fixed(df.sparkSession):
-        return materialize(df.repartition(parts, *keys))
+        return materialize(df.repartition(parts, *keys).sortWithinPartitions(*keys))
