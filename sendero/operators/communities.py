@@ -44,7 +44,7 @@ def _with_end_counts(edges: DataFrame, counts: DataFrame, hot: DataFrame) -> Dat
     return edges
 
 
-def _triangle_edges(counted: DataFrame, min_hot_rows: int) -> DataFrame:
+def _triangle_edges(counted: DataFrame, hot: DataFrame) -> DataFrame:
     """``(src, dst, t)``: triangles through each edge that is in one.
 
     Edges point from the end with fewer neighbours to the one with more, so no vertex keeps more than
@@ -57,8 +57,6 @@ def _triangle_edges(counted: DataFrame, min_hot_rows: int) -> DataFrame:
         F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("b"))
     onward = materialize(pointed.groupBy("a").agg(F.collect_list("b").alias("out")))
     steps = onward.select("a", "out", F.explode("out").alias("b"))
-    arriving = materialize(steps.groupBy("b").agg(F.count("*").alias("n")))
-    hot = hot_keys(arriving, "b", min_rows=min_hot_rows)
     ends = onward.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
     corners = lookup_join(steps, ends, "b", "a", hot).select(
         "a", "b", F.explode(F.array_intersect("out", "out_b")).alias("c"))
@@ -84,7 +82,7 @@ def edge_weights(edges: DataFrame, weighting: str = "overlap", min_hot_rows: int
     counts = materialize(neighbour_counts(edges))
     hot = hot_keys(counts, "v", min_rows=min_hot_rows)
     counted = materialize(_with_end_counts(edges, counts, hot))
-    joined = counted.join(_triangle_edges(counted, min_hot_rows), ["src", "dst"], "left")
+    joined = counted.join(_triangle_edges(counted, hot), ["src", "dst"], "left")
     # A vertex with a loop neighbours itself, so it is a common neighbour of both ends of all its edges.
     common = F.when(F.col("src") == F.col("dst"), F.col("n_src")).otherwise(
         F.coalesce(F.col("t"), F.lit(0)) + F.col("loop_src") + F.col("loop_dst"))
@@ -158,6 +156,8 @@ def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "m
             moved = everywhere().join(before.withColumnRenamed("label", "old"), "v").where("label <> old")
             if moved.isEmpty():
                 break
+    for arcs_of_bucket in laid:
+        arcs_of_bucket.unpersist()
     return everywhere()
 
 

@@ -37,22 +37,28 @@ def sample_rows(df: DataFrame, key: list[str], fraction: float = 0.8, seed: int
     return df.where(unit_hash(*key, seed=seed) < fraction)
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Training reads its rows many times over, so a table in fewer pieces than there are cores is dealt out once."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 def tree_classifier(train: DataFrame, label: str, depth: int = 8, seed: int = 3) -> Model:
-    return DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=depth, seed=seed).fit(train)
+    return DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=depth, seed=seed).fit(spread(train))
 
 
 def linear_regression(train: DataFrame, label: str, rounds: int = 10, penalty: float = 0.3,
                       l1_share: float = 0.8) -> LinearRegressionModel:
     return LinearRegression(featuresCol="features", labelCol=label, maxIter=rounds, regParam=penalty,
-                            elasticNetParam=l1_share).fit(train)
+                            elasticNetParam=l1_share).fit(spread(train))
 
 
 def tree_regressor(train: DataFrame, label: str) -> Model:
-    return DecisionTreeRegressor(featuresCol="features", labelCol=label).fit(train)
+    return DecisionTreeRegressor(featuresCol="features", labelCol=label).fit(spread(train))
 
 
 def boosted_regressor(train: DataFrame, label: str, rounds: int = 10, seed: int = 3) -> Model:
-    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed).fit(train)
+    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed).fit(spread(train))
 
 
 def accuracy(predictions: DataFrame, label: str, prediction: str = "prediction") -> float:

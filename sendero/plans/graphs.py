@@ -51,7 +51,8 @@ def sales(spark, sf_dir):
     """Customer, part and supplier of every line item."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_partkey", "l_suppkey")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
-    return lines.join(orders, "orderkey").select("o_custkey", "l_partkey", "l_suppkey")
+    # Orders grow with the data, so they are merged, not broadcast, whatever their size at the moment.
+    return lines.join(orders.hint("merge"), "orderkey").select("o_custkey", "l_partkey", "l_suppkey")
 
 
 def ring(rows, customer, part, supplier):

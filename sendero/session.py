@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 DEFAULTS = {
@@ -72,8 +73,11 @@ def _plans_fixed(spark: SparkSession):
 def materialize_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     """``materialize`` hash-partitioned and sorted by ``keys``: later joins on them move and sort only the other side.
 
-    A checkpoint remembers its layout only if its plan was fixed before it ran, hence the switch.
+    A checkpoint remembers its layout only if its plan was fixed before it ran, hence the switch. For loops
+    the result is also kept in columns on the executors, which a lost one re-reads from the checkpoint:
+    ``unpersist`` it when done.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with _plans_fixed(df.sparkSession):
-        return materialize(df.repartition(parts, *keys).sortWithinPartitions(*keys))
+        laid = materialize(df.repartition(parts, *keys).sortWithinPartitions(*keys))
+    return laid.persist(StorageLevel.MEMORY_AND_DISK)
