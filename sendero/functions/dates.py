@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-
-
 def parse_date(column: str | Column, pattern: str = "M/d/yyyy") -> Column:
     """Text to date; unreadable text gives NULL. ``M/d/yyyy`` reads one and two digits."""
     return F.try_to_date(F.col(column) if isinstance(column, str) else column, pattern)
@@ -29,10 +26,12 @@ def calendar(df: DataFrame, column: str) -> DataFrame:
 
 
 def instant_utc(column: str) -> Column:
-    """A wall-clock time read as UTC, for the watermark and window functions that need an instant."""
-    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {column})"))
+    """A wall-clock time read as UTC, for the window function that needs an instant."""
+    return F.timestamp_micros(F.expr(
+        f"unix_date(CAST({column} AS DATE)) * 86400000000 + hour({column}) * 3600000000"
+        f" + minute({column}) * 60000000 + CAST(extract(SECOND FROM {column}) * 1000000 AS BIGINT)"))
 
 
 def wall_clock_utc(column: str) -> Column:
     """The inverse of ``instant_utc``."""
-    return F.expr(f"timestampadd(MICROSECOND, unix_micros({column}), {EPOCH})")
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({column}), timestamp_ntz'1970-01-01 00:00:00')")

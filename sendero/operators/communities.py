@@ -117,7 +117,8 @@ def pick_labels(arcs: DataFrame, labels: DataFrame, hot: DataFrame, tie: str = "
 
 def layout(arcs: DataFrame, hot: DataFrame) -> DataFrame:
     """Arcs placed by source for ``pick_labels``, hot sources spread over slices."""
-    return materialize_by(slice_rows(arcs, "src", "dst", hot).select("src", "slice", "dst", "w"), "src", "slice")
+    placed = slice_rows(arcs, "src", "dst", hot).select("src", "slice", "dst", "w")
+    return materialize_by(placed, arcs.count(), "src", "slice")
 
 
 def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "min", seed: int = 42,

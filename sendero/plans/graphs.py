@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sendero.operators.communities import (edge_weights, label_propagation, modularity, multigraph_arcs,
                                            multigraph_labels, propagate, symmetrize, undirected_edges)
-from sendero.operators.links import (hashed_edges, hashed_vertices, id_collisions, in_degrees, named_links,
+from sendero.operators.links import (collapse, hashed_edges, hashed_vertices, id_collisions, in_degrees, named_links,
                                      page_rank, vertex_names)
 from sendero.functions.hashing import short_hash
 from sendero.plans.registry import query, table
@@ -108,7 +108,7 @@ def g_hash_collisions(spark, sf_dir):
 @query(T + """SELECT substr(sha1(name), 1, 8) AS id, name, in_degree
               FROM (SELECT dst AS name, count(*) AS in_degree FROM t GROUP BY 1) ORDER BY in_degree DESC, name LIMIT 10""")
 def g_in_degree_top(spark, sf_dir):
-    links = trade_links(spark, sf_dir)
+    links = materialize(collapse(trade_links(spark, sf_dir)))
     degrees = in_degrees(hashed_edges(links, width=8))
     return (degrees.join(hashed_vertices(links, width=8), "id").select("id", "name", "in_degree")
             .orderBy(F.desc("in_degree"), "name").limit(10))
@@ -121,7 +121,7 @@ def g_pagerank(spark, sf_dir):
 
 @query(RANKED + "SELECT substr(sha1(id), 1, 8) AS id, id AS name, pagerank FROM fin ORDER BY pagerank DESC, name LIMIT 10")
 def g_pagerank_top(spark, sf_dir):
-    links = materialize(trade_links(spark, sf_dir))
+    links = materialize(collapse(trade_links(spark, sf_dir)))
     ranks = page_rank(hashed_edges(links, width=8))
     return (ranks.join(hashed_vertices(links, width=8), "id")
             .select("id", "name", F.round("pagerank", 6).alias("pagerank"))

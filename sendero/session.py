@@ -8,16 +8,19 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+ROWS_PER_PART = 4_000_000
+
 _local_dir: str | None = None
 
 
@@ -70,14 +73,14 @@ def _plans_fixed(spark: SparkSession):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
-def materialize_by(df: DataFrame, *keys: str | Column) -> DataFrame:
+def materialize_by(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """``materialize`` hash-partitioned and sorted by ``keys``: later joins on them move and sort only the other side.
 
     A checkpoint remembers its layout only if its plan was fixed before it ran, hence the switch. For loops
     the result is also kept in columns on the executors, which a lost one re-reads from the checkpoint:
-    ``unpersist`` it when done.
+    ``unpersist`` it when done. ``rows`` is the size of ``df``, from which the number of parts follows.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_PART)
     with _plans_fixed(df.sparkSession):
         laid = materialize(df.repartition(parts, *keys).sortWithinPartitions(*keys))
     return laid.persist(StorageLevel.MEMORY_AND_DISK)
