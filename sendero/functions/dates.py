@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+
 def parse_date(column: str | Column, pattern: str = "M/d/yyyy") -> Column:
     """Text to date; unreadable text gives NULL. ``M/d/yyyy`` reads one and two digits."""
     return F.try_to_date(F.col(column) if isinstance(column, str) else column, pattern)
