@@ -29,8 +29,8 @@ def calendar(df: DataFrame, column: str) -> DataFrame:
 def instant_utc(column: str) -> Column:
     """A wall-clock time read as UTC, for the window function that needs an instant."""
     return F.timestamp_micros(F.expr(
-        f"unix_date(CAST({column} AS DATE)) * 86400000000 + hour({column}) * 3600000000"
-        f" + minute({column}) * 60000000 + CAST(extract(SECOND FROM {column}) * 1000000 AS BIGINT)"))
+        f"unix_date(CAST({column} AS DATE)) * 86400000000L + hour({column}) * 3600000000L"
+        f" + minute({column}) * 60000000L + CAST(extract(SECOND FROM {column}) * 1000000 AS BIGINT)"))
 
 
 def wall_clock_utc(column: str) -> Column:

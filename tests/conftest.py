@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("sendero-tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "1000",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sendero-tests-")})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -19,6 +19,9 @@ def test_oracle(name, spark, duck, sf_dir):
     relation = duck.sql(contract.oracle_sql()[name])
     want = {c: TYPES[str(t)] for c, t in zip(relation.columns, relation.types)}
     assert dict(mine.dtypes) == want
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("CartesianProduct", "BroadcastNestedLoopJoin"))
+    assert ("Python" in plan or "InPandas" in plan) == name.startswith("udf_")
     columns = sorted(want)
     got = Counter(tuple(row) for row in mine.select(*columns).collect())
     expected = Counter(relation.select(*[f'"{c}"' for c in columns]).fetchall())
