@@ -26,8 +26,10 @@ def undirected_edges(df: DataFrame, a: str, b: str) -> DataFrame:
 def symmetrize(edges: DataFrame) -> DataFrame:
     """Both directions of every edge, a loop once, other columns kept. Canonical input needs no distinct."""
     rest = [c for c in edges.columns if c not in ("src", "dst")]
-    back = edges.where("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), *rest)
-    return edges.unionByName(back)
+    there = F.struct("src", "dst")
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    ways = F.when(F.col("src") == F.col("dst"), F.array(there)).otherwise(F.array(there, back))
+    return edges.select(F.explode(ways).alias("arc"), *rest).select("arc.*", *rest)
 
 
 def neighbour_counts(edges: DataFrame) -> DataFrame:
