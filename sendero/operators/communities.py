@@ -111,7 +111,7 @@ def pick_labels(arcs: DataFrame, labels: DataFrame, hot: DataFrame, tie: str = "
     ``arcs`` is ``(src, slice, dst, w)``; scores tie when equal to nine decimals.
     """
     sent = repeat_rows(labels.withColumnRenamed("v", "src"), "src", hot)
-    votes = (arcs.join(sent, ["src", "slice"]).groupBy(F.col("dst").alias("v"), "label")
+    votes = (arcs.join(sent.hint("merge"), ["src", "slice"]).groupBy(F.col("dst").alias("v"), "label")
              .agg(F.round(F.sum("w"), 9).alias("score")))
     order = F.struct((-F.col("score")).alias("s"), *[c.alias(f"o{i}") for i, c in enumerate(_tie_order(tie, seed, step))])
     return votes.groupBy("v").agg(F.min_by("label", order).alias("label"))

@@ -80,7 +80,7 @@ def materialize_by(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     the result is also kept in columns on the executors, which a lost one re-reads from the checkpoint:
     ``unpersist`` it when done. ``rows`` is the size of ``df``, from which the number of parts follows.
     """
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_PART)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_PART)
     with _plans_fixed(df.sparkSession):
         laid = materialize(df.repartition(parts, *keys).sortWithinPartitions(*keys))
     return laid.persist(StorageLevel.MEMORY_AND_DISK)
