@@ -34,8 +34,8 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
 
     Equal values are counted before they move. Only the partitions that hold a wanted rank are summed up.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("value")) for c in columns])
-    counts = (df.select(F.explode(pairs).alias("x")).select("x.*").where("value is not null and not isnan(value)")
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    counts = (df.select(F.posexplode(values).alias("col", "value")).where("value is not null and not isnan(value)")
               .groupBy("col", "value").agg(F.count("*").alias("n")))
     placed = _ranged(counts, [F.col("col"), F.col("value")]).withColumn(
         "part", F.shiftright(F.monotonically_increasing_id(), _ROW_BITS))
@@ -56,4 +56,6 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
     hits = running.join(wanted, ["col", "part"]).where("rank < upto and rank >= upto - n")
     low, high = F.min("value"), F.max("value")
     fraction = F.min("place") - F.floor(F.min("place"))
-    return hits.groupBy("col", "p").agg((low + (high - low) * fraction).alias("value"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("col") + 1)
+    return (hits.groupBy("col", "p").agg((low + (high - low) * fraction).alias("value"))
+            .withColumn("col", name))
