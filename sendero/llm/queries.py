@@ -5,12 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from sendero.llm.chat import format_conversations, loss_spans, texts_under, turns_in
+from sendero.llm.near_dups import near_duplicates
+from sendero.llm.rans import store_and_read
 from sendero.llm.token_counts import count_tokens
 from sendero.llm.transducer import round_trip
+from sendero.llm.vectors import nearest
 from sendero.plans.registry import query, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+END_ID = 2
 MAX_TOKENS = 512
+# The conversation that the result holds besides the table's.
+PLANTED = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
 
 @query()
@@ -20,7 +27,39 @@ def op2_bpe_round_trip(spark, sf_dir):
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query()
+def op3_rans_ids(spark, sf_dir):
+    read = store_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), END_ID)
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op6_one_bit_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@query()
+def op8_bbit_minhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+
+
 @query()
 def op9_token_counts(spark, sf_dir):
     counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+@query()
+def op10_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED, "conv_id bigint, turn bigint, role string, text string")
+    masked = loss_spans(format_conversations(turns.unionByName(planted)))
+    read = masked.select("conv_id", "formatted", turns_in(F.col("formatted")).alias("turns"),
+                         F.array_join(texts_under(F.col("formatted"), F.col("spans")), "").alias("loss"))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
