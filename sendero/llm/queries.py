@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sendero.llm.chat import format_conversations, loss_spans, texts_under, turns_in
 from sendero.llm.near_dups import near_duplicates
+from sendero.llm.passages import remove_repeats
 from sendero.llm.rans import store_and_read
 from sendero.llm.token_counts import count_tokens
 from sendero.llm.transducer import round_trip
@@ -34,6 +35,12 @@ def op3_rans_ids(spark, sf_dir):
                        F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op4_phrase_automata(spark, sf_dir):
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op6_one_bit_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
