@@ -91,7 +91,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text:
         encoder, squeeze = Subwords(path), zstandard.ZstdCompressor(1).compress
         end = np.array([end_id], "<u4").tobytes()
         for batch in by_bytes(batches, "_text"):
-            ids = [np.frombuffer(encoder.encode(t) + end, "<u4") for t in batch.column("_text").to_pylist()]
+            ids = [np.frombuffer(own + end, "<u4") for own in encoder.encode_all(batch.column("_text").to_pylist())]
             packed = [squeeze((a.astype("<u2") if a.max() < 1 << 16 else a).tobytes()) for a in ids]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, ids), pa.int64()),
                                               pa.array(packed, pa.binary())], schema=IDS)

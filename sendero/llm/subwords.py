@@ -27,6 +27,8 @@ SPACED_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+|
                          f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BARE_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
 JOINED_SPACE = re.compile(f" (?:[{SPACE}]|\\Z)")
+#: Marks a stretch that no blank precedes; UNUSUAL keeps this control from standing in such a text.
+HEAD = "\x1c"
 BOUNDARY = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 
 #: Byte-level tokenizers write the bytes that do not print as the characters from 256 on, in order.
@@ -76,34 +78,38 @@ class Subwords:
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; of null as of an empty one."""
-        return b"".join(self._plain(part) if part not in self.specials else self.specials[part]
-                        for piece in split_long(text or "") for part in self.special.split(piece) if part)
-
-    def _plain(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """``encode`` of each; words that are new to the memo are resolved for all texts together."""
+        plans = [[step for piece in split_long(text or "") for part in self.special.split(piece) if part
+                  for step in self._plan(part)] for text in texts]
+        self._learn([s for plan in plans for s in plan if not isinstance(s, bytes)])
+        return [b"".join(s if isinstance(s, bytes) else b"".join(map(self.chunks.__getitem__, s)) for s in plan)
+                for plan in plans]
+
+    def _plan(self, text: str) -> list[bytes | list[str]]:
+        """Ids, where they are known at once, or stretches of text to be looked up."""
+        if text in self.specials:
+            return [self.specials[text]]
         if UNUSUAL.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return [np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
         if self.lowers:
-            return self._chunks(text.lower().split(), "")
+            return [text.lower().split()]
         if JOINED_SPACE.search(text):
-            return self._words([self.find(text)])[0]
+            return [[w[1:] if w[0] == " " else HEAD + w for w in self.find(text)]]
         first, *rest = text.split(" ")
-        return self._words([self.find(first)])[0] + self._chunks(rest, " ")
-
-    def _chunks(self, chunks: list[str], lead: str) -> bytes:
-        """Ids of stretches between blanks; ``lead`` stands before each."""
-        missing = list(set(chunks).difference(self.chunks))
-        if missing:
-            if len(self.chunks) + len(missing) > 2 * self.memo_words:
-                self.chunks.clear()
-                missing = list(set(chunks))
-            self.chunks.update(zip(missing, self._words([self.find(lead + c) for c in missing])))
-        return b"".join(map(self.chunks.__getitem__, chunks))
-
-    def _words(self, lists: list[list[str]]) -> list[bytes]:
-        missing = list(set().union(*lists).difference(self.words))
-        if missing:
-            if len(self.words) + len(missing) > self.memo_words:
-                self.words.clear()
-                missing = list(set().union(*lists))
-            self.words.update(zip(missing, self.resolve(missing)))
-        return [b"".join(map(self.words.__getitem__, words)) for words in lists]
+        return [[HEAD + first] if first else [], rest]
+
+    def _learn(self, lists: list[list[str]]) -> None:
+        missing = list(set().union(*lists).difference(self.chunks))
+        if len(self.chunks) + len(missing) > 2 * self.memo_words:
+            self.chunks.clear()
+            missing = list(set().union(*lists))
+        cut = [self.find(c if self.lowers else c[1:] if c[:1] == HEAD else " " + c) for c in missing]
+        words = list(set().union(*cut).difference(self.words))
+        if len(self.words) + len(words) > self.memo_words:
+            self.words.clear()
+            words = list(set().union(*cut))
+        self.words.update(zip(words, self.resolve(words)))
+        self.chunks.update((c, b"".join(map(self.words.__getitem__, w))) for c, w in zip(missing, cut))

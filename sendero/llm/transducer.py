@@ -3,7 +3,7 @@
 The frequent words of the corpus are compiled into one automaton that shares prefixes and suffixes. Each arc carries
 the number of words that sort before those behind it, so the sum along a path numbers the word, and the number leads
 to its ids. The arrays are shipped to every executor as a file and mapped, not loaded. Words outside it are merged
-by the tokenizer's own merge ranks, so the result does not depend on which words the lexicon holds.
+by the tokenizer's own merges, so the result does not depend on which words the lexicon holds.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,39 +22,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
 from sendero.llm.subwords import BYTE_CHARS, Subwords
+from sendero.session import materialize
 
 LEXICON_WORDS = 100_000
 CHAR_BYTES = {c: b for b, c in BYTE_CHARS.items()}
 
 
-class Merger:
-    """Exact merges of one word by the ranks of a tokenizer file."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"])
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
-        self.ids = model["vocab"]
-        self.suffix = model["end_of_word_suffix"] or ""
-
-    def merge(self, word: str) -> bytes:
-        parts = list(word.encode().decode("latin-1").translate(BYTE_CHARS))
-        parts[-1] += self.suffix
-        rank_of = self.ranks.get
-        ranks = [rank_of(p, 1 << 30) for p in zip(parts, parts[1:])]
-        while ranks and (best := min(ranks)) < 1 << 30:
-            i = ranks.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank_of((parts[i], parts[i + 1]), 1 << 30)
-            if i:
-                ranks[i - 1] = rank_of((parts[i - 1], parts[i]), 1 << 30)
-        return np.array([self.ids[p] for p in parts], "<u4").tobytes()
-
-
-def compile_lexicon(words: Iterable[str], merger: Merger, path: str) -> None:
+def compile_lexicon(words: Iterable[str], merge: Callable[[list[str]], list[bytes]], path: str) -> None:
     """Write the automaton of ``words`` and their ids to the folder-less file set ``path``."""
     texts = sorted({w.encode() for w in words if w})
     states: list[list] = [[False, []]]  # final, [(byte, target)]
@@ -101,7 +75,7 @@ def compile_lexicon(words: Iterable[str], merger: Merger, path: str) -> None:
             arcs.append((state << 8 | byte, target, before))
             before += behind[target]
     table = np.array(sorted(arcs), np.int64).reshape(-1, 3)
-    outputs = [merger.merge(t.decode()) for t in texts]
+    outputs = merge([t.decode() for t in texts])
     final = np.zeros(len(states), np.int64)
     final[[s for s in behind if states[s][0]]] = 1
     ends = np.cumsum([0] + [len(o) for o in outputs], dtype=np.int64)
@@ -148,7 +122,7 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, path: str, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, ties by the word; ``limit`` bounds the lexicon, not what is counted.
+    """The words of all texts from some count on, ``limit`` at most; it bounds the lexicon, not what is counted.
 
     Each task counts its stretches between blanks and cuts only the distinct ones into words.
     """
@@ -171,8 +145,17 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", limit: int =
                 yield drain()
         yield drain()
 
-    counted = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    counted = materialize(docs.select(text).mapInArrow(count, "word string, n bigint")
+                          .groupBy("word").agg(F.sum("n").alias("n")))
+    # How many words have each length of count, largest first: the least count of which not too many words reach it.
+    kinds = counted.groupBy(F.floor(F.log2("n") * 16).alias("size")).agg(F.count("*").alias("words"))
+    least, taken = None, 0
+    for row in sorted(kinds.collect(), key=lambda r: -r["size"]):
+        if taken + row["words"] > limit:
+            break
+        least, taken = row["size"], taken + row["words"]
+    return [] if least is None else [r["word"] for r in counted.where(
+        F.floor(F.log2("n") * 16) >= least).select("word").collect()]
 
 
 def ship_lexicon(docs: DataFrame, path: str, text: str = "text", limit: int = LEXICON_WORDS) -> str:
@@ -182,18 +165,21 @@ def ship_lexicon(docs: DataFrame, path: str, text: str = "text", limit: int = LE
     """
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     file = os.path.join(tempfile.mkdtemp(prefix="sendero-lexicon-"), name)
-    compile_lexicon(frequent_words(docs, path, text, limit), Merger(path), file)
+    compile_lexicon(frequent_words(docs, path, text, limit), Subwords(path).by_library, file)
     docs.sparkSession.sparkContext.addFile(file)
     return name
 
 
 def transducing(path: str, lexicon: str) -> Subwords:
     """An encoder that asks the mapped automaton for a word first and merges it if it is not there."""
-    automaton, merger = Lexicon(SparkFiles.get(lexicon)), Merger(path)
+    automaton, encoder = Lexicon(SparkFiles.get(lexicon)), Subwords(path)
 
     def resolve(words: list[str]) -> list[bytes]:
-        return [found if found is not None else merger.merge(w) for w, found in zip(words, automaton.find(words))]
-    return Subwords(path, resolve)
+        found = automaton.find(words)
+        merged = iter(encoder.by_library([w for w, f in zip(words, found) if f is None]))
+        return [f if f is not None else next(merged) for f in found]
+    encoder.resolve = resolve
+    return encoder
 
 
 def piece_bytes(path: str) -> list[bytes]:
@@ -208,7 +194,7 @@ def piece_bytes(path: str) -> list[bytes]:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, lexicon: str) -> Iterator[pa.RecordBatch]:
     encoder = transducing(path, lexicon)
     for batch in by_bytes(batches, "_text"):
-        ids = pa.array(map(encoder.encode, batch.column("_text").to_pylist()), pa.binary())
+        ids = pa.array(encoder.encode_all(batch.column("_text").to_pylist()), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("_key"), ids], ["_key", "ids"])
 
 
