@@ -10,6 +10,7 @@ from sendero.llm.near_dups import near_duplicates
 from sendero.llm.passages import remove_repeats
 from sendero.llm.rans import store_and_read
 from sendero.llm.token_counts import count_tokens
+from sendero.llm.toxicity import fold, score_toxicity, train
 from sendero.llm.transducer import round_trip
 from sendero.llm.vectors import nearest
 from sendero.plans.registry import query, table
@@ -17,6 +18,7 @@ from sendero.plans.registry import query, table
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 2
 MAX_TOKENS = 512
+REJECTED = 0.7
 # The conversation that the result holds besides the table's.
 PLANTED = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -47,6 +49,14 @@ def op6_one_bit_neighbours(spark, sf_dir):
     return nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+@query()
+def op7_clause_grammar(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= REJECTED).cast("int").alias("predicted"))
+
+
 @query()
 def op8_bbit_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
