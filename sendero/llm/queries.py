@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sendero.llm.chat import format_conversations, loss_spans, texts_under, turns_in
+from sendero.llm.decontaminate import contaminated
 from sendero.llm.near_dups import near_duplicates
 from sendero.llm.passages import remove_repeats
 from sendero.llm.rans import store_and_read
@@ -43,6 +44,11 @@ def op4_phrase_automata(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op5_template_windows(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op6_one_bit_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
