@@ -9,6 +9,7 @@ from sendero.llm.chat import format_conversations, loss_spans, texts_under, turn
 from sendero.llm.decontaminate import contaminated
 from sendero.llm.near_dups import near_duplicates
 from sendero.llm.passages import remove_repeats
+from sendero.llm.pii import KINDS, find_personal_data, written
 from sendero.llm.rans import store_and_read
 from sendero.llm.token_counts import count_tokens
 from sendero.llm.toxicity import fold, score_toxicity, train
@@ -24,6 +25,15 @@ REJECTED = 0.7
 PLANTED = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
 
+@query()
+def op1_contextual_pii(spark, sf_dir):
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select("doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)],
+                        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 @query()
 def op2_bpe_round_trip(spark, sf_dir):
     coded = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
