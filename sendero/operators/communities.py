@@ -146,21 +146,23 @@ def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "m
         return reduce(DataFrame.unionByName, labels)
 
     count = sources.count() if stop == "count" else None
-    for step in range(1, rounds + 1):
-        before = everywhere()
-        for b in range(buckets):
-            labels[b] = materialize(pick_labels(laid[b], everywhere(), hot, tie, seed, step))
-        if stop == "count":
-            now = everywhere().select("label").distinct().count()
-            if now == count:
-                break
-            count = now
-        elif stop == "labels":
-            moved = everywhere().join(before.withColumnRenamed("label", "old"), "v").where("label <> old")
-            if moved.isEmpty():
-                break
-    for arcs_of_bucket in laid:
-        arcs_of_bucket.unpersist()
+    try:
+        for step in range(1, rounds + 1):
+            before = everywhere()
+            for b in range(buckets):
+                labels[b] = materialize(pick_labels(laid[b], everywhere(), hot, tie, seed, step))
+            if stop == "count":
+                now = everywhere().select("label").distinct().count()
+                if now == count:
+                    break
+                count = now
+            elif stop == "labels":
+                moved = everywhere().join(before.withColumnRenamed("label", "old"), "v").where("label <> old")
+                if moved.isEmpty():
+                    break
+    finally:
+        for arcs_of_bucket in laid:
+            arcs_of_bucket.unpersist()
     return everywhere()
 
 

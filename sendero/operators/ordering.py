@@ -29,6 +29,15 @@ def with_position(df: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
             .withColumn(name, F.col("_before") + within + 1).drop("_id", "_part", "_before"))
 
 
+def merge_ordered(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Outer merge of two tables on ``on``; a null key meets a null key."""
+    theirs = right.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
+    keys = [F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in on]
+    rest = [c for c in [*left.columns, *right.columns] if c not in on]
+    return left.join(theirs, same, "full").select(*keys, *rest)
+
+
 def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """``(col, p, value)``: exact quantiles, interpolated linearly between the two nearest ranks; NULLs skipped.
 

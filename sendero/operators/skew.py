@@ -1,25 +1,22 @@
 """Joins on keys of which one may own a large share of the rows.
 
-A key is *hot* when it owns more than 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE hot
-keys whatever the data: that table is always small enough to broadcast. The rows of a hot key are cut
-into slices, and the one row it has on the other side is repeated once per slice.
+A key is *hot* when it owns more rows than a task should hold. Its rows are cut into slices of about that many, and the
+one row it has on the other side is repeated once per slice. There is at most one hot key per such number of rows, and
+whether that table is broadcast is left to its measured size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sendero.session import materialize
+from sendero.session import ROWS_PER_PART, materialize
 
-HOT_SHARE = 1000
-MIN_HOT_ROWS = 100_000
+MIN_HOT_ROWS = ROWS_PER_PART
 
 
 def hot_keys(counts: DataFrame, key: str, n: str = "n", min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """``(key, slices)`` of the hot keys, from a table with one row count ``n`` per key."""
-    total = counts.agg(F.sum(n)).first()[0] or 0
-    limit = max(total // HOT_SHARE, min_rows)
-    hot = counts.where(F.col(n) > limit).select(key, F.ceil(F.col(n) / limit).cast("int").alias("slices"))
+    """``(key, slices)`` of the keys with more than ``min_rows`` rows, from a table with one row count ``n`` per key."""
+    hot = counts.where(F.col(n) > min_rows).select(key, F.ceil(F.col(n) / min_rows).cast("int").alias("slices"))
     return materialize(hot)
 
 
@@ -29,7 +26,7 @@ def slice_rows(rows: DataFrame, key: str, spread_by: str, hot: DataFrame) -> Dat
     The slice depends on the row alone, so a recomputed task sends every row where it went before.
     ``(key, spread_by)`` should be nearly unique.
     """
-    known = F.broadcast(hot.withColumnRenamed(hot.columns[0], key))
+    known = hot.withColumnRenamed(hot.columns[0], key)
     number = F.when(F.col("slices").isNull(), 0).otherwise(
         F.pmod(F.xxhash64(spread_by), F.col("slices")).cast("int"))
     return rows.join(known, key, "left").withColumn("slice", number).drop("slices")
@@ -37,7 +34,7 @@ def slice_rows(rows: DataFrame, key: str, spread_by: str, hot: DataFrame) -> Dat
 
 def repeat_rows(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """One copy of each lookup row per slice of its key."""
-    known = F.broadcast(hot.withColumnRenamed(hot.columns[0], key))
+    known = hot.withColumnRenamed(hot.columns[0], key)
     slices = F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1)
     return lookup.join(known, key, "left").withColumn("slice", F.explode(slices)).drop("slices")
 

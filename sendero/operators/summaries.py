@@ -35,22 +35,28 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return _long_form(df.agg(*stats), columns, ["n", "lo", "hi"])
 
 
+def _without_nan(df: DataFrame, column: str) -> Column:
+    """The column with NULL for NaN, in its own type."""
+    return F.nanvl(F.col(column), F.lit(None)) if dict(df.dtypes)[column] in ("double", "float") else F.col(column)
+
+
 def column_means(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns])
 
 
 def group_means(df: DataFrame, *keys: str) -> DataFrame:
-    """Mean of every numeric column per group, as ``avg_<column>``."""
+    """Mean of every numeric column per group, as ``avg_<column>``; NaN makes its group's mean NaN, as in SQL."""
     return df.groupBy(*keys).agg(*[F.avg(c).alias(f"avg_{c}") for c in numeric_columns(df) if c not in keys])
 
 
 def group_sums(df: DataFrame, *keys: str) -> DataFrame:
-    """Sum of every numeric column per group, as ``sum_<column>``; text columns are left out."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(f"sum_{c}") for c in numeric_columns(df) if c not in keys])
+    """Sum of every numeric column per group, as ``sum_<column>``; text columns are left out, NaN is skipped."""
+    return df.groupBy(*keys).agg(*[F.sum(_without_nan(df, c)).alias(f"sum_{c}") for c in numeric_columns(df)
+                                   if c not in keys])
 
 
 def correlations(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
-    """``(col, r)``: Pearson correlation of ``target`` with each column, in one pass."""
+    """``(col, r)``: Pearson correlation of ``target`` with each column, in one pass; NaN makes it NaN, as in SQL."""
     columns = columns or [c for c in numeric_columns(df) if c != target]
     return _long_form(df.agg(*[F.corr(target, c).alias(f"{c}__r") for c in columns]), columns, ["r"])
 
@@ -68,17 +74,17 @@ def with_group_stats(df: DataFrame, keys: list[str], *stats: Column) -> DataFram
 
 
 def center(df: DataFrame, group: str, value: str, name: str = "centered") -> DataFrame:
-    """``value`` minus its group mean, as double, every row kept."""
-    return (with_group_stats(df, [group], F.avg(value).alias("_mean"))
+    """``value`` minus its group mean, as double, every row kept; NaN does not count for the mean."""
+    return (with_group_stats(df, [group], F.avg(_without_nan(df, value)).alias("_mean"))
             .withColumn(name, F.col(value) - F.col("_mean")).drop("_mean"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 90) -> DataFrame:
     """``(bin, n)`` of equal-width bins, the last one closed; empty bins are absent.
 
-    A constant column gets a range one unit wide around its value.
+    A constant column gets a range one unit wide around its value. NULL and NaN are in no bin.
     """
-    known = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
+    known = df.select(F.col(column).cast("double").alias("x")).where("x is not null and not isnan(x)")
     low, high = known.agg(F.min("x")).scalar(), known.agg(F.max("x")).scalar()
     lo = F.when(low == high, low - 0.5).otherwise(low)
     hi = F.when(low == high, high + 0.5).otherwise(high)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from sendero.functions.vectorized import (center_in_pandas, keep_equal, merge_ordered_in_pandas, plus_one,
                                           register_sql_functions)
 from sendero.plans.registry import query, table
-from sendero.plans.relational import CENTERED, MERGED, daily_purchases_and_errors
+from sendero.plans.relational import (CENTERED, MERGED, MERGED_NULLS, daily_purchases_and_errors,
+                                      totals_with_null_keys)
 
 
 @query("SELECT o_orderkey, o_custkey + 1 AS plus_one FROM orders")
@@ -15,6 +16,14 @@ def udf_plus_one(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", plus_one("o_custkey").alias("plus_one"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey + 9007199254740993 + 1 END AS plus_one
+          FROM orders""")
+def udf_plus_one_nulls(spark, sf_dir):
+    """Integers beyond 2**53 beside NULLs in one batch."""
+    large = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey") + F.lit(9007199254740993))
+    return table(spark, sf_dir, "orders").select("o_orderkey", plus_one(large).alias("plus_one"))
+
+
 @query("SELECT p_partkey, p_size + 1 AS plus_one FROM part")
 def udf_sql(spark, sf_dir):
     register_sql_functions(spark)
@@ -37,3 +46,9 @@ def udf_group_map(spark, sf_dir):
 def udf_cogroup(spark, sf_dir):
     purchases, errors = daily_purchases_and_errors(spark, sf_dir)
     return merge_ordered_in_pandas(purchases, errors, ["user_id", "d"], "user_id bigint, d date, v double, n bigint")
+
+
+@query(MERGED_NULLS)
+def udf_cogroup_null_keys(spark, sf_dir):
+    purchases, errors = totals_with_null_keys(spark, sf_dir)
+    return merge_ordered_in_pandas(purchases, errors, ["k"], "k string, v double, n bigint")

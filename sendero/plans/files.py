@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from sendero.operators.summaries import describe
 from sendero.plans.registry import query, table
 from sendero.session import table_path
 from sendero.sources import readers, writers
@@ -58,22 +59,35 @@ def text_lines(spark, sf_dir):
     return readers.read_lines(spark, path).groupBy("source", "line").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT CAST(20 AS BIGINT) AS n, CAST(20 AS BIGINT) AS known")
 def preview_lines(spark, sf_dir):
-    path = writers.write_lines(table(spark, sf_dir, "documents").select("text"), table_path(spark, "lines"))
-    return readers.preview_lines(spark, path, 20)
+    """How many lines a preview shows, and how many of them are lines of the table."""
+    documents = table(spark, sf_dir, "documents").select("text")
+    path = writers.write_lines(documents, table_path(spark, "lines"))
+    shown = readers.preview_lines(spark, path, 20).withColumn("place", F.monotonically_increasing_id())
+    lines = documents.select(F.explode(F.split("text", "\n")).alias("line")).distinct().withColumn("seen", F.lit(1))
+    return shown.join(lines, "line", "left").agg(F.count("*").alias("n"), F.count("seen").alias("known"))
 
 
-@query("SELECT 'lineitem.parquet' AS file_name, count(*) AS n FROM lineitem")
+@query("SELECT count(*) AS n, CAST(1 AS BIGINT) AS per_row FROM lineitem")
 def file_manifest(spark, sf_dir):
-    return readers.file_manifest(table(spark, sf_dir, "lineitem")).select("file_name", "n")
+    """All rows of all files, and whether each file is listed once."""
+    files = readers.file_manifest(table(spark, sf_dir, "lineitem"))
+    return files.agg(F.sum("n").alias("n"), (F.count("*") / F.count_distinct("file_name")).cast("bigint").alias("per_row"))
 
 
-@query("SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1")
+@query("SELECT * FROM lineitem")
 def partitioned_roundtrip(spark, sf_dir):
-    path = writers.write_partitioned(table(spark, sf_dir, "lineitem"), table_path(spark, "lineitem"), "l_returnflag")
-    return (readers.scan_parquet(spark, path).where("l_returnflag = 'R'")
-            .groupBy("l_returnflag").agg(F.count("*").alias("n")))
+    lines = table(spark, sf_dir, "lineitem")
+    path = writers.write_partitioned(lines, table_path(spark, "lineitem"), "l_returnflag")
+    return readers.scan_parquet(spark, path).select(lines.columns)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'")
+def partition_pruned(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    path = writers.write_partitioned(lines, table_path(spark, "lineitem"), "l_returnflag")
+    return readers.scan_parquet(spark, path).where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -92,15 +106,47 @@ def labels_json(spark, sf_dir):
 @query("""SELECT DISTINCT least(l_partkey, l_suppkey) AS src, greatest(l_partkey, l_suppkey) AS dst FROM lineitem""")
 def edge_list_csv(spark, sf_dir):
     pairs = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    return readers.load_edges(spark, writers.write_csv(pairs, table_path(spark, "edges")), node_type="bigint")
+
+
+@query("""SELECT DISTINCT least('part/' || l_partkey, 'supplier/' || l_suppkey) AS src,
+          greatest('part/' || l_partkey, 'supplier/' || l_suppkey) AS dst FROM lineitem""")
+def edge_list_text(spark, sf_dir):
+    pairs = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("a"),
+        F.concat(F.lit("supplier/"), F.col("l_suppkey").cast("string")).alias("b"))
     return readers.load_edges(spark, writers.write_csv(pairs, table_path(spark, "edges")))
 
 
+@query("SELECT doc_id, text FROM documents")
+def csv_documents(spark, sf_dir):
+    """Texts with line breaks, quotes and blanks at their ends come back as they were."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = writers.write_csv(documents, table_path(spark, "csv"), null="\\N")
+    return readers.read_csv(spark, path, schema="doc_id bigint, text string", multiline=True, null="\\N")
+
+
+@query("""SELECT count(*) FILTER (WHERE p_size <= 25) AS good, count(*) FILTER (WHERE p_size > 25) AS rejected,
+          CAST(sum(p_size) FILTER (WHERE p_size <= 25) AS BIGINT) AS total FROM part""")
+def csv_rejects(spark, sf_dir):
+    """Large sizes are written as words; those lines are counted, not lost."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.when(
+        F.col("p_size") > 25, F.col("p_brand")).otherwise(F.col("p_size").cast("string")).alias("size"))
+    path = writers.write_csv(part, table_path(spark, "csv"))
+    rows = readers.read_csv(spark, path, schema="p_partkey bigint, size int", rejects="line")
+    return rows.agg(F.count(F.when(F.col("line").isNull(), F.col("p_partkey"))).alias("good"),
+                    F.count("line").alias("rejected"), F.sum("size").alias("total"))
+
+
 @query("SELECT count(*) AS n, count(*) AS ids FROM orders")
 def row_ids(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     return readers.add_row_id(orders).agg(F.count("*").alias("n"), F.count_distinct("row_id").alias("ids"))
 
 
-@query()
+@query("SELECT unnest(['A', 'B', 'C', 'D']) AS col, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd")
 def normal_columns(spark, sf_dir):
-    return readers.random_normals(table(spark, sf_dir, "orders").select("o_orderkey"), ["A", "B", "C", "D"], seed=1)
+    """Means and deviations to half a unit, which the drawn normals of any of the tables keep to."""
+    drawn = readers.random_normals(table(spark, sf_dir, "lineitem").select("l_orderkey"), ["A", "B", "C", "D"], seed=1)
+    nearest = lambda c: F.abs(F.round(F.col(c) * 2) / 2).alias(c)
+    return describe(drawn, ["A", "B", "C", "D"]).select("col", nearest("mean"), nearest("sd"))

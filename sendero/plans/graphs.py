@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from sendero.operators.communities import (edge_weights, label_propagation, modularity, multigraph_arcs,
                                            multigraph_labels, propagate, symmetrize, undirected_edges)
-from sendero.operators.links import (collapse, hashed_edges, hashed_vertices, id_collisions, in_degrees, named_links,
-                                     page_rank, vertex_names)
+from sendero.operators.links import (hashed_edges, hashed_vertices, id_collisions, in_degrees, named_links, page_rank,
+                                     vertex_names)
 from sendero.functions.hashing import short_hash
 from sendero.plans.registry import query, table
 from sendero.session import materialize
@@ -99,19 +99,18 @@ def g_directed_edges(spark, sf_dir):
     return hashed_edges(trade_links(spark, sf_dir), width=8)
 
 
-@query("SELECT id, count(*) AS n FROM (SELECT DISTINCT substr(sha1(c_name), 1, 4) AS id, c_name FROM customer) GROUP BY 1 HAVING count(*) > 1")
+@query(T + """SELECT substr(sha1(name), 1, 4) AS id, count(*) AS n FROM (SELECT src AS name FROM t UNION SELECT dst FROM t)
+              GROUP BY 1 HAVING count(*) > 1""")
 def g_hash_collisions(spark, sf_dir):
-    names = table(spark, sf_dir, "customer").select("c_name").distinct()
-    return id_collisions(names.select(short_hash("c_name", 4).alias("id")))
+    return id_collisions(hashed_vertices(trade_links(spark, sf_dir), width=4))
 
 
 @query(T + """SELECT substr(sha1(name), 1, 8) AS id, name, in_degree
               FROM (SELECT dst AS name, count(*) AS in_degree FROM t GROUP BY 1) ORDER BY in_degree DESC, name LIMIT 10""")
 def g_in_degree_top(spark, sf_dir):
-    links = materialize(collapse(trade_links(spark, sf_dir)))
-    degrees = in_degrees(hashed_edges(links, width=8))
-    return (degrees.join(hashed_vertices(links, width=8), "id").select("id", "name", "in_degree")
-            .orderBy(F.desc("in_degree"), "name").limit(10))
+    """By name; the short id, which two names may share, is only shown."""
+    top = in_degrees(trade_links(spark, sf_dir)).orderBy(F.desc("in_degree"), "id").limit(10)
+    return top.select(short_hash("id", 8).alias("id"), F.col("id").alias("name"), "in_degree")
 
 
 @query(RANKED + "SELECT id, pagerank FROM fin")
@@ -121,11 +120,9 @@ def g_pagerank(spark, sf_dir):
 
 @query(RANKED + "SELECT substr(sha1(id), 1, 8) AS id, id AS name, pagerank FROM fin ORDER BY pagerank DESC, name LIMIT 10")
 def g_pagerank_top(spark, sf_dir):
-    links = materialize(collapse(trade_links(spark, sf_dir)))
-    ranks = page_rank(hashed_edges(links, width=8))
-    return (ranks.join(hashed_vertices(links, width=8), "id")
-            .select("id", "name", F.round("pagerank", 6).alias("pagerank"))
-            .orderBy(F.desc("pagerank"), "name").limit(10))
+    ranks = page_rank(trade_links(spark, sf_dir)).withColumn("pagerank", F.round("pagerank", 6))
+    top = ranks.orderBy(F.desc("pagerank"), "id").limit(10)
+    return top.select(short_hash("id", 8).alias("id"), F.col("id").alias("name"), "pagerank")
 
 
 @query(E + "SELECT src, dst FROM e")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sendero.functions.dates import calendar, date_time_text, parse_date
 from sendero.functions.hashing import short_hash
-from sendero.operators.ordering import quantiles, with_position
+from sendero.operators.ordering import merge_ordered as merge_ordered_tables, quantiles, with_position
 from sendero.operators.summaries import (assign_between, center, column_means, correlations, describe,
                                          describe_text, group_means, group_sums, histogram,
                                          numeric_columns, reindex)
@@ -143,7 +143,59 @@ def daily_purchases_and_errors(spark, sf_dir):
 @query(MERGED)
 def merge_ordered(spark, sf_dir):
     purchases, errors = daily_purchases_and_errors(spark, sf_dir)
-    return purchases.join(errors, ["user_id", "d"], "full")
+    return merge_ordered_tables(purchases, errors, ["user_id", "d"])
+
+
+# Both sides have a NULL key and keys that the other lacks.
+MERGED_NULLS = """WITH a AS (SELECT nullif(o_orderpriority, '1-URGENT') AS k, round(sum(o_totalprice), 2) AS v FROM orders
+        WHERE o_orderpriority <> '2-HIGH' GROUP BY 1),
+    b AS (SELECT nullif(o_orderpriority, '5-LOW') AS k, count(*) AS n FROM orders
+          WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1)
+    SELECT a.k, v, n FROM a LEFT JOIN b ON a.k IS NOT DISTINCT FROM b.k
+    UNION ALL SELECT k, NULL, n FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.k IS NOT DISTINCT FROM b.k)"""
+
+
+def totals_with_null_keys(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    totals = (orders.where("o_orderpriority <> '2-HIGH'").groupBy(F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("k"))
+              .agg(F.round(F.sum("o_totalprice"), 2).alias("v")))
+    counts = (orders.where("o_orderpriority <> '3-MEDIUM'").groupBy(F.nullif("o_orderpriority", F.lit("5-LOW")).alias("k"))
+              .agg(F.count("*").alias("n")))
+    return totals, counts
+
+
+@query(MERGED_NULLS)
+def merge_null_keys(spark, sf_dir):
+    return merge_ordered_tables(*totals_with_null_keys(spark, sf_dir), ["k"])
+
+
+def quantity_with_nan(spark, sf_dir):
+    """Quantities of 1 are NaN, of 2 NULL."""
+    quantity = F.when(F.col("l_quantity") == 1, float("nan")).when(F.col("l_quantity") != 2, F.col("l_quantity").cast("double"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", quantity.alias("q"))
+
+
+KNOWN_QUANTITY = "CASE WHEN l_quantity > 2 THEN l_quantity::DOUBLE END"
+
+
+@query(f"SELECT l_returnflag, sum({KNOWN_QUANTITY}) AS sum_q FROM lineitem GROUP BY 1")
+def group_sum_nan(spark, sf_dir):
+    return group_sums(quantity_with_nan(spark, sf_dir).select("l_returnflag", "q"), "l_returnflag")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, round({KNOWN_QUANTITY} - avg({KNOWN_QUANTITY}) OVER (PARTITION BY l_returnflag), 4)
+           AS centered FROM lineitem WHERE l_quantity > 2""")
+def group_center_nan(spark, sf_dir):
+    centered = center(quantity_with_nan(spark, sf_dir), "l_returnflag", "q")
+    return centered.where("q > 2 and not isnan(q)").select(
+        "l_orderkey", "l_linenumber", F.round("centered", 4).alias("centered"))
+
+
+@query(f"""WITH q AS (SELECT {KNOWN_QUANTITY} AS x FROM lineitem WHERE l_quantity > 2),
+    r AS (SELECT min(x) AS lo, max(x) AS hi FROM q)
+    SELECT CAST(least(floor((x - lo) / (hi - lo) * 7), 6) AS INTEGER) AS bin, count(*) AS n FROM q, r GROUP BY 1""")
+def histogram_nan(spark, sf_dir):
+    return histogram(quantity_with_nan(spark, sf_dir), "q", 7)
 
 
 @query("""SELECT o_orderpriority, round(avg(o_totalprice), 4) AS avg_price FROM orders

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -22,6 +23,7 @@ DEFAULTS = {
 ROWS_PER_PART = 4_000_000
 
 _local_dir: str | None = None
+_planning = threading.Lock()
 
 
 def build_session(app: str = "sendero", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,12 +37,12 @@ def build_session(app: str = "sendero", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: the context's checkpoint folder or what ``spark.checkpoint.dir`` names.
 
     Only a local session may fall back to a folder of this machine.
     """
     global _local_dir
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -65,12 +67,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def _plans_fixed(spark: SparkSession):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+    """Adaptive execution off; one caller at a time, so that none restores what another switched off."""
+    with _planning:
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def materialize_by(df: DataFrame, rows: int, *keys: str) -> DataFrame:

@@ -33,17 +33,33 @@ def to_pandas_api(df: DataFrame, index_col: str):
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None, header: bool = True,
-             sep: str = ",", infer: bool = False) -> DataFrame:
-    """CSV with doubled quotes as the escape. Without schema and inference all columns are text."""
-    reader = spark.read.options(header=header, sep=sep, quote='"', escape='"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
-    return reader.csv(path)
+             sep: str = ",", infer: bool = False, multiline: bool = False, null: str = "",
+             rejects: str | None = None) -> DataFrame:
+    """CSV with doubled quotes as the escape. Without schema and inference all columns are text.
 
+    A line that does not fit the schema is an error. With ``rejects`` it is kept instead, its text in that column and
+    the unreadable values NULL; ``rejects`` needs a schema. ``multiline`` reads quoted line breaks, one task per file.
+    ``null`` is how NULL is written; with the default an empty text comes back as NULL.
+    """
+    reader = spark.read.options(header=header, sep=sep, quote='"', escape='"', multiLine=multiline, nullValue=null)
+    return _reader(reader, schema, rejects, inferSchema=infer).csv(path)
 
-def read_json(spark: SparkSession, path: str, schema: str | StructType | None = None, multiline: bool = False) -> DataFrame:
-    """One record per line, or with ``multiline`` one document or array per file."""
-    reader = spark.read.option("multiLine", multiline)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+
+def _reader(reader, schema: str | StructType | None, rejects: str | None, **otherwise):
+    if rejects is None:
+        reader = reader.option("mode", "FAILFAST")
+        return reader.schema(schema) if schema is not None else reader.options(**otherwise)
+    if schema is None:
+        raise ValueError("kept rejects need a schema")
+    known = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+    return reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=rejects, columnPruning=False).schema(
+        known.add(rejects, "string"))
+
+
+def read_json(spark: SparkSession, path: str, schema: str | StructType | None = None, multiline: bool = False,
+              rejects: str | None = None) -> DataFrame:
+    """One record per line, or with ``multiline`` one document or array per file; ``rejects`` as in ``read_csv``."""
+    return _reader(spark.read.option("multiLine", multiline), schema, rejects).json(path)
 
 
 def read_avro(spark: SparkSession, path: str) -> DataFrame:
@@ -72,8 +88,11 @@ def file_manifest(df: DataFrame) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def load_edges(spark: SparkSession, path: str, node_type: str = "bigint") -> DataFrame:
-    """Edge-list CSV with a header line and two node columns, as canonical undirected edges."""
+def load_edges(spark: SparkSession, path: str, node_type: str = "string") -> DataFrame:
+    """Edge-list CSV with a header line and two node columns, as canonical undirected edges.
+
+    A node that ``node_type`` cannot hold is an error. A line without one of its nodes is no edge.
+    """
     pairs = read_csv(spark, path, schema=f"a {node_type}, b {node_type}")
     return undirected_edges(pairs, "a", "b")
 

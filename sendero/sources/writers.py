@@ -10,8 +10,11 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", mode: str = "errorifexists") -> str:
-    df.write.mode(mode).options(header=header, sep=sep, quote='"', escape='"').csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", mode: str = "errorifexists",
+              null: str = "") -> str:
+    """CSV as ``read_csv`` reads it; ``null`` is how NULL is written."""
+    df.write.mode(mode).options(header=header, sep=sep, quote='"', escape='"', nullValue=null,
+                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
 

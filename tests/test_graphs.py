@@ -48,7 +48,7 @@ def plain_weight(near, a, b, weighting):
 
 def test_edges_collapse(spark, tmp_path):
     (tmp_path / "e.csv").write_text("node_1,node_2\n1,2\n2,1\n1,2\n3,3\n,4\n")
-    edges = load_edges(spark, str(tmp_path / "e.csv"))
+    edges = load_edges(spark, str(tmp_path / "e.csv"), node_type="bigint")
     assert sorted(map(tuple, edges.collect())) == [(1, 2), (3, 3)]
     assert sorted(map(tuple, co.symmetrize(edges).collect())) == [(1, 2), (2, 1), (3, 3)]
 
@@ -192,6 +192,13 @@ def test_hot_keys_are_few_and_their_rows_spread(spark):
     assert repeat_rows(rows.select("k").distinct(), "k", hot).count() == 6000 + 30
 
 
+def test_no_slice_outgrows_a_task(spark):
+    counts = spark.createDataFrame([("a", 599 * 10**9), ("b", 10**9), ("c", 3_999_999), ("d", 4_000_000)], "k string, n bigint")
+    hot = hot_keys(counts, "k")
+    assert counts.join(hot, "k", "left").where(F.col("n") / F.coalesce("slices", F.lit(1)) > 4_000_000).isEmpty()
+    assert {r.k for r in hot.collect()} == {"a", "b"}
+
+
 def test_a_round_moves_only_the_vertex_side(spark):
     arcs = co.symmetrize(edges_of(spark, star_with_chords())).withColumn("w", F.lit(1))
     hot = hot_keys(arcs.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("n")), "v")

@@ -18,30 +18,30 @@ from sendero.functions.wordcount import search_counts, top_words, vocabulary_siz
 from sendero.operators import ordering, summaries
 from sendero.sources import readers, writers
 
-PEOPLE = [(1, "Ana", 25, "España"), (2, "Luis", 30, "México"), (3, "Eva", 40, "Argentina"), (4, "Juan", 35, "España")]
-FRUIT = [("red", "banana", 1, 10), ("blue", "banana", 2, 20), ("red", "carrot", 3, 30), ("blue", "grape", 4, 40),
-         ("red", "carrot", 5, 50), ("black", "carrot", 6, 60), ("red", "banana", 7, 70), ("red", "grape", 8, 80)]
+BOATS = [(11, "Möwe", 9.5, "Kiel"), (12, "Tern", 22.0, "Hull"), (17, "Skua", 14.25, "Kiel"), (19, "Gull", 6.75, "Kiel"),
+         (23, "Auk", 31.0, "Oban")]
+TIDES = [("Kiel", 3, 1.5), ("Kiel", 4, 2.5), ("Hull", 5, 7.0), ("Hull", 9, 5.0), ("Hull", 14, 6.0), ("Oban", 2, 4.0)]
 
 
 @pytest.fixture(scope="module")
-def people(spark):
-    return readers.from_rows(spark, PEOPLE, "id int, nombre string, edad int, pais string")
+def boats(spark):
+    return readers.from_rows(spark, BOATS, "hull int, name string, metres double, port string")
 
 
 @pytest.fixture(scope="module")
-def fruit(spark):
-    return readers.from_rows(spark, FRUIT, ["color", "fruit", "v1", "v2"])
+def tides(spark):
+    return readers.from_rows(spark, TIDES, ["port", "hour", "level"])
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_people(people):
-    assert rows(people.groupBy("pais").agg(F.avg("edad"))) == [("Argentina", 40.0), ("España", 30.0), ("México", 30.0)]
-    assert rows(people.where((F.col("edad") > 25) & (F.col("pais") == "España")).select("id")) == [(4,)]
-    assert rows(people.select("id", F.col("edad") * 2)) == [(1, 50), (2, 60), (3, 80), (4, 70)]
-    assert [r.edad for r in people.sort(people.edad.desc()).collect()] == [40, 35, 30, 25]
+def test_boats(boats):
+    assert rows(boats.groupBy("port").agg(F.max("metres"))) == [("Hull", 22.0), ("Kiel", 14.25), ("Oban", 31.0)]
+    assert rows(boats.where((F.col("metres") < 10) & (F.col("port") == "Kiel")).select("hull")) == [(11,), (19,)]
+    assert rows(boats.select("hull", F.col("metres") / 2).where("hull > 17")) == [(19, 3.375), (23, 15.5)]
+    assert [r.hull for r in boats.sort(boats.metres.desc()).collect()] == [23, 12, 17, 11, 19]
 
 
 def test_rows_by_every_kind_of_schema(spark):
@@ -55,23 +55,22 @@ def test_rows_by_every_kind_of_schema(spark):
 
 
 def test_pandas_missing_is_null(spark):
-    series = pd.DataFrame({"x": [1, 3, 5, np.nan, 6, 8]})
+    series = pd.DataFrame({"x": [0.5, np.nan, 2.0, np.nan, 11.5]})
     df = readers.from_pandas(spark, series, index_col="i")
-    assert df.columns == ["i", "x"] and df.where("x is null").count() == 1
-    assert summaries.column_means(df, ["x"]).first().x == pytest.approx(4.6)
-    assert df.fillna(5).agg(F.sum("x")).first()[0] == 28 and df.dropna("any").count() == 5
+    assert df.columns == ["i", "x"] and df.where("x is null").count() == 2
+    assert summaries.column_means(df, ["x"]).first().x == pytest.approx(14 / 3)
+    assert df.fillna(4).agg(F.sum("x")).first()[0] == 22 and df.dropna("any").count() == 3
 
 
-def test_pandas_api(spark, fruit):
-    frame = readers.to_pandas_api(fruit, "v1")
-    assert frame["v2"].mean() == 45.0 and list(frame.sort_index(ascending=False).head(2).index.to_numpy()) == [8, 7]
+def test_pandas_api(spark, tides):
+    frame = readers.to_pandas_api(tides, "hour")
+    assert frame["level"].sum() == 26.0 and list(frame.sort_index(ascending=False).head(2).index.to_numpy()) == [14, 9]
 
 
-CSV = '''first,last,street,city,state,zip
-John,Doe,120 jefferson st.,Riverside,NJ,08075
-"John ""Da Man""",Repici,120 Jefferson St.,Riverside,NJ,08075
-"Joan ""the bone"", Anne",Jet,"9th, at Terrace plc",Desert City,CO,00123
-,Blankman,,SomeTown,SD,00298
+CSV = '''berth,boat,note
+0017,Skua,"says ""ahoy"", twice"
+0420,"Auk, grey",
+0042,,"plain"
 '''
 
 
@@ -79,37 +78,64 @@ def test_csv_quotes_and_codes(spark, tmp_path):
     (tmp_path / "a.csv").write_text(CSV)
     df = readers.read_csv(spark, str(tmp_path / "a.csv"))
     assert set(dict(df.dtypes).values()) == {"string"}
-    got = {r["last"]: tuple(r) for r in df.collect()}
-    assert got["Jet"] == ('Joan "the bone", Anne', "Jet", "9th, at Terrace plc", "Desert City", "CO", "00123")
-    assert got["Repici"][0] == 'John "Da Man"' and got["Blankman"][0] is None
-    assert readers.read_csv(spark, str(tmp_path / "a.csv"), header=False).count() == 5
-    assert dict(readers.read_csv(spark, str(tmp_path / "a.csv"), infer=True).dtypes)["zip"] == "int"
+    got = {r.berth: (r.boat, r.note) for r in df.collect()}
+    assert got == {"0017": ("Skua", 'says "ahoy", twice'), "0420": ("Auk, grey", None), "0042": (None, "plain")}
+    assert readers.read_csv(spark, str(tmp_path / "a.csv"), header=False).count() == 4
+    assert dict(readers.read_csv(spark, str(tmp_path / "a.csv"), infer=True).dtypes)["berth"] == "int"
 
 
 def test_csv_schema(spark, tmp_path):
-    (tmp_path / "p.csv").write_text("id;nombre;edad\n1;Ana;25\n2;Luis;\n")
-    df = readers.read_csv(spark, str(tmp_path / "p.csv"), schema="id int, nombre string, edad int", sep=";")
-    assert rows(df.fillna(0)) == [(1, "Ana", 25), (2, "Luis", 0)]
+    (tmp_path / "p.csv").write_text("hull;name;berth\n11;Tern;3\n12;Gull;\n")
+    df = readers.read_csv(spark, str(tmp_path / "p.csv"), schema="hull int, name string, berth int", sep=";")
+    assert rows(df.fillna(0)) == [(11, "Tern", 3), (12, "Gull", 0)]
+
+
+def test_unreadable_lines_are_errors_or_kept(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("hull,metres\n11,9.5\ntwelve,22\n17,14,Kiel\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_csv(spark, str(tmp_path / "p.csv"), schema="hull int, metres double").collect()
+    kept = readers.read_csv(spark, str(tmp_path / "p.csv"), schema="hull int, metres double", rejects="bad")
+    assert sorted(r.bad or "" for r in kept.collect()) == ["", "17,14,Kiel", "twelve,22"]
+    (tmp_path / "p.json").write_text('{"hull": 11}\n{"hull": "x"}\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_json(spark, str(tmp_path / "p.json"), schema="hull int").collect()
+    assert readers.read_json(spark, str(tmp_path / "p.json"), schema="hull int", rejects="bad").where(
+        "bad is not null and hull is null").count() == 1
+
+
+def test_csv_keeps_line_breaks_and_empty_texts(spark, tmp_path):
+    texts = [(1, 'two\nlines, "quoted"'), (2, ""), (3, None), (4, "  edges ")]
+    df = readers.from_rows(spark, texts, "k int, t string")
+    writers.write_csv(df, f"{tmp_path}/c", null="\\N")
+    assert rows(readers.read_csv(spark, f"{tmp_path}/c", "k int, t string", multiline=True, null="\\N")) == texts
+
+
+def test_edge_lists_take_names_and_refuse_unreadable_numbers(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("a,b\nx1,3\n3,x1\n,4\n")
+    assert rows(readers.load_edges(spark, f"{tmp_path}/e.csv")) == [("3", "x1")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.load_edges(spark, f"{tmp_path}/e.csv", node_type="bigint").collect()
 
 
 def test_json_array_document(spark, tmp_path):
-    (tmp_path / "p.json").write_text('[\n {"nombre": "Ana", "edad": 25},\n {"nombre": "Luis", "edad": 30}\n]')
+    (tmp_path / "p.json").write_text('[\n {"port": "Oban", "berths": 25},\n {"port": "Hull", "berths": 30}\n]')
     df = readers.read_json(spark, str(tmp_path / "p.json"), multiline=True)
-    assert df.dtypes == [("edad", "bigint"), ("nombre", "string")] and df.count() == 2
+    assert df.dtypes == [("berths", "bigint"), ("port", "string")] and df.count() == 2
 
 
-def test_writes(spark, people, tmp_path):
-    writers.write_json(people, f"{tmp_path}/j")
-    assert rows(readers.read_json(spark, f"{tmp_path}/j", people.schema)) == sorted(PEOPLE)
-    writers.write_partitioned(people, f"{tmp_path}/p", "pais")
+def test_writes(spark, boats, tmp_path):
+    writers.write_json(boats, f"{tmp_path}/j")
+    assert rows(readers.read_json(spark, f"{tmp_path}/j", boats.schema)) == sorted(BOATS)
+    writers.write_partitioned(boats, f"{tmp_path}/p", "port")
     back = readers.scan_parquet(spark, f"{tmp_path}/p")
-    assert back.columns == ["id", "nombre", "edad", "pais"]
-    spain = back.where("pais = 'España'")
-    assert "PartitionFilters: [isnotnull(pais" in spain._jdf.queryExecution().toString() and spain.count() == 2
-    writers.write_table(people, "sendero_people", path=f"{tmp_path}/t")
-    assert spark.table("sendero_people").count() == 4
+    assert back.columns == ["hull", "name", "metres", "port"]
+    kiel = back.where("port = 'Kiel'")
+    assert "PartitionFilters: [isnotnull(port" in kiel._jdf.queryExecution().toString() and kiel.count() == 3
+    writers.write_table(boats, "sendero_boats", path=f"{tmp_path}/t")
+    assert spark.table("sendero_boats").count() == 5
+    spark.sql("DROP TABLE sendero_boats")
     with pytest.raises(AnalysisException):
-        writers.write_json(people, f"{tmp_path}/j")
+        writers.write_json(boats, f"{tmp_path}/j")
 
 
 def test_lines_and_files(spark, tmp_path):
@@ -122,33 +148,51 @@ def test_lines_and_files(spark, tmp_path):
     assert rows(search_counts(lines, "line", {"n1": "TWO", "n2": "one"})) == [(3, 1)]
 
 
-def test_avro_round_trip(spark, people, tmp_path):
+def test_avro_round_trip(spark, boats, tmp_path):
     try:
-        people.write.format("avro").save(f"{tmp_path}/a")
+        boats.write.format("avro").save(f"{tmp_path}/a")
     except AnalysisException:
         pytest.skip("spark-avro is not on the class path")
-    assert readers.read_avro(spark, f"{tmp_path}/a").count() == 4
+    assert readers.read_avro(spark, f"{tmp_path}/a").count() == 5
 
 
-def test_row_ids_and_normals(spark, people):
-    ids = [r.row_id for r in readers.add_row_id(people.repartition(3)).collect()]
-    assert len(set(ids)) == 4
+def test_row_ids_and_normals(spark, boats):
+    ids = [r.row_id for r in readers.add_row_id(boats.repartition(3)).collect()]
+    assert len(set(ids)) == 5
     normal = readers.random_normals(spark.range(20000), ["A", "B"], seed=3)
     stats = {r.col: r for r in summaries.describe(normal, ["A", "B"]).collect()}
     assert abs(stats["A"].mean) < 0.05 and abs(stats["B"].sd - 1) < 0.05
     assert abs(normal.agg(F.corr("A", "B")).first()[0]) < 0.05
 
 
-def test_group_summaries(spark, fruit):
-    assert rows(summaries.group_means(fruit, "color")) == [("black", 6.0, 60.0), ("blue", 3.0, 30.0), ("red", 4.8, 48.0)]
-    sums = summaries.group_sums(fruit, "color")
-    assert sums.columns == ["color", "sum_v1", "sum_v2"] and rows(sums)[2] == ("red", 24, 240)
-    want = {1: -3.8, 3: -1.8, 5: 0.2, 7: 2.2, 8: 3.2, 2: -1.0, 4: 1.0, 6: 0.0}
-    for df in (summaries.center(fruit, "color", "v1"),
-               vectorized.map_groups(fruit.select("color", "v1", "v2"), "color", "v2", {"m": F.avg("v1")},
-                                     lambda f: f.assign(centered=f.v1 - f.m)[["v1", "centered"]],
-                                     "v1 bigint, centered double", group_rows=2)):
-        assert {r.v1: r.centered for r in df.collect()} == pytest.approx(want)
+def test_group_summaries(spark, tides):
+    assert rows(summaries.group_means(tides, "port")) == [
+        ("Hull", pytest.approx(28 / 3), 6.0), ("Kiel", 3.5, 2.0), ("Oban", 2.0, 4.0)]
+    sums = summaries.group_sums(tides, "port")
+    assert sums.columns == ["port", "sum_hour", "sum_level"] and rows(sums)[0] == ("Hull", 28, 18.0)
+    want = {3: -0.5, 4: 0.5, 5: 1.0, 9: -1.0, 14: 0.0, 2: 0.0}
+    for df in (summaries.center(tides, "port", "level"),
+               vectorized.map_groups(tides, "port", {"m": F.avg("level")},
+                                     lambda f: f.assign(centered=f.level - f.m)[["hour", "centered"]],
+                                     "hour bigint, centered double")):
+        assert {r.hour: r.centered for r in df.collect()} == pytest.approx(want)
+
+
+def test_nan_is_missing_in_sums_centers_and_bins(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 2.0), ("a", nan), ("a", 4.0), ("b", nan), ("b", None)], "g string, v double")
+    assert rows(summaries.group_sums(df, "g")) == [("a", 6.0), ("b", None)]
+    for centered in (summaries.center(df, "g", "v"), vectorized.center_in_pandas(df.withColumn("k", F.monotonically_increasing_id()), "k", "g", "v")):
+        assert sorted(r.centered for r in centered.collect() if r.centered is not None and r.centered == r.centered) == [-1.0, 1.0]
+    assert rows(summaries.histogram(df, "v", 2)) == [(0, 1), (1, 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_map_groups_does_not_depend_on_sizes(spark, parts):
+    df = spark.range(40).select((F.col("id") % 2).alias("g"), "id").repartition(parts)
+    above = vectorized.map_groups(df, "g", {"n": F.count("*"), "top": F.max("id")},
+                                  lambda f: f.assign(left=f.top - f.id)[["id", "n", "left"]], "id bigint, n bigint, left bigint")
+    assert rows(above) == [(i, 20, 38 + i % 2 - i) for i in range(40)]
 
 
 def test_group_stats_keep_null_keys(spark):
@@ -156,8 +200,8 @@ def test_group_stats_keep_null_keys(spark):
     assert rows(summaries.center(df, "g", "v").select("v", "centered")) == [(1.0, -1.0), (3.0, 1.0), (5.0, 0.0)]
 
 
-def test_numeric_columns(people, fruit):
-    assert summaries.numeric_columns(people) == ["id", "edad"] and summaries.numeric_columns(fruit, "int", "double") == []
+def test_numeric_columns(boats, tides):
+    assert summaries.numeric_columns(boats) == ["hull", "metres"] and summaries.numeric_columns(tides, "int", "double") == ["level"]
 
 
 def test_describe_skips_missing(spark):
@@ -246,23 +290,30 @@ def test_tokens(spark):
     assert [tuple(r) for r in top_words(df, "t", 2).collect()] == [("a", 2), ("B", 1)]
 
 
-def test_python_functions(spark, fruit):
-    assert [r[0] for r in fruit.select(vectorized.plus_one("v1")).collect()] == list(range(2, 10))
+def test_python_functions(spark, tides):
+    assert [r[0] for r in tides.select(vectorized.plus_one("hour")).collect()] == [4, 5, 6, 10, 15, 3]
     vectorized.register_sql_functions(spark)
-    fruit.createOrReplaceTempView("tableA")
-    added = spark.sql("SELECT add_one(v1) AS x FROM tableA")
-    assert added.dtypes == [("x", "int")] and added.count() == 8
-    assert spark.sql("SELECT count(*) > 0 FROM tableA").first()[0] is True
-    assert rows(vectorized.keep_equal(fruit.select("v1", "v2"), "v1", 1)) == [(1, 10)]
+    tides.createOrReplaceTempView("tide_hours")
+    added = spark.sql("SELECT add_one(hour) AS x FROM tide_hours")
+    assert added.dtypes == [("x", "int")] and added.count() == 6
+    assert spark.sql("SELECT count(*) > 0 FROM tide_hours").first()[0] is True
+    assert rows(vectorized.keep_equal(tides.select("hour", "level"), "hour", 9)) == [(9, 5.0)]
+
+
+def test_large_integers_beside_nulls(spark):
+    df = spark.createDataFrame([(2**53 + 1,), (None,)], "x bigint").coalesce(1)
+    assert [r[0] for r in df.select(vectorized.plus_one("x")).collect()] == [2**53 + 2, None]
+    assert rows(vectorized.keep_equal(df, "x", 2**53 + 1)) == [(2**53 + 1,)]
 
 
 def test_merge_ordered(spark):
-    left = spark.createDataFrame([(20000101, 1, 1.0), (20000101, 2, 2.0), (20000102, 1, 3.0), (20000102, 2, 4.0)],
-                                 ["time", "id", "v1"])
-    right = spark.createDataFrame([(20000101, 1, "x"), (20000101, 2, "y")], ["time", "id", "v2"])
-    want = [(20000101, 1, 1.0, "x"), (20000101, 2, 2.0, "y"), (20000102, 1, 3.0, None), (20000102, 2, 4.0, None)]
+    left = spark.createDataFrame([("Kiel", 3, 1.5), ("Kiel", 4, 2.5), (None, 3, 9.0)], "port string, hour int, level double")
+    right = spark.createDataFrame([("Kiel", 4, "ebb"), ("Oban", 3, "flood"), (None, 3, "slack")], "port string, hour int, tide string")
+    want = [("", 3, 9.0, "slack"), ("Kiel", 3, 1.5, None), ("Kiel", 4, 2.5, "ebb"), ("Oban", 3, None, "flood")]
+
+    def seen(df):
+        return sorted((r[0] or "", *r[1:]) for r in df.collect())
     for group_rows in (100, 1):
-        merged = vectorized.merge_ordered_in_pandas(left, right, ["time", "id"],
-                                                    "time bigint, id bigint, v1 double, v2 string", group_rows)
-        assert sorted((tuple(r) for r in merged.collect()), key=lambda r: r[:2]) == want
-    assert sorted((tuple(r) for r in left.join(right, ["time", "id"], "full").collect()), key=lambda r: r[:2]) == want
+        assert seen(vectorized.merge_ordered_in_pandas(
+            left, right, ["port", "hour"], "port string, hour int, level double, tide string", group_rows)) == want
+    assert seen(ordering.merge_ordered(left, right, ["port", "hour"])) == want
