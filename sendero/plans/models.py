@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sendero.operators import learning
 from sendero.plans.registry import query, table
+from sendero.session import table_path
 
 MEASURES = ["l_quantity", "l_discount", "l_tax"]
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -95,3 +97,77 @@ def ml_gbt_regress(spark, sf_dir):
     train, test = lines(spark, sf_dir)
     model = learning.boosted_regressor(train, "l_extendedprice")
     return model.transform(test).select(*LINE_KEY, "l_extendedprice", "prediction")
+
+
+# Planted rules: labels that a fitted model has to reproduce row by row. A line number has few values, so each is a bin.
+RULE = "CASE WHEN l_linenumber >= 4 THEN {high}::DOUBLE ELSE {low}::DOUBLE END AS prediction"
+ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def ruled_lines(spark, sf_dir, label):
+    rows = table(spark, sf_dir, "lineitem").select(*ROW_KEY, "l_tax", "l_discount").withColumn("label", label)
+    return learning.assemble(rows, ["l_linenumber", "l_discount"])
+
+
+def by_line(low, high):
+    return F.when(F.col("l_linenumber") >= 4, F.lit(float(high))).otherwise(F.lit(float(low)))
+
+
+def predicted(model, rows):
+    return model.transform(rows).select(*ROW_KEY, F.round("prediction", 6).alias("prediction"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, {RULE.format(high=1, low=0)} FROM lineitem")
+def ml_tree_rule(spark, sf_dir):
+    rows = ruled_lines(spark, sf_dir, by_line(0, 1))
+    return predicted(learning.tree_classifier(rows, "label", 3), rows)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, {RULE.format(high=0, low=1)} FROM lineitem")
+def ml_saved_tree_rule(spark, sf_dir):
+    """The model is saved, loaded and then used."""
+    rows = ruled_lines(spark, sf_dir, by_line(1, 0))
+    path = learning.save_model(learning.tree_classifier(rows, "label", 3), table_path(spark, "tree"))
+    return predicted(DecisionTreeClassificationModel.load(path), rows)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, {RULE.format(high=12.5, low=-3)} FROM lineitem")
+def ml_tree_regress_rule(spark, sf_dir):
+    rows = ruled_lines(spark, sf_dir, by_line(-3, 12.5))
+    return predicted(learning.tree_regressor(rows, "label"), rows)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, {RULE.format(high=10, low=2)} FROM lineitem")
+def ml_boosted_rule(spark, sf_dir):
+    rows = ruled_lines(spark, sf_dir, by_line(2, 10))
+    return predicted(learning.boosted_regressor(rows, "label", rounds=3), rows)
+
+
+def linear_lines(spark, sf_dir):
+    return ruled_lines(spark, sf_dir, F.col("l_linenumber") * 3.0 - F.col("l_discount") * 2.0 + 5.0)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, round(3 * l_linenumber - 2 * l_discount + 5, 4) AS prediction
+          FROM lineitem""")
+def ml_linear_rule(spark, sf_dir):
+    rows = linear_lines(spark, sf_dir)
+    fitted = learning.linear_regression(rows, "label", penalty=0.0)
+    return predicted(fitted, rows).withColumn("prediction", F.round("prediction", 4))
+
+
+@query("SELECT 3.0::DOUBLE AS line, -2.0::DOUBLE AS discount, 5.0::DOUBLE AS intercept, 1.0::DOUBLE AS r2, 0.0::DOUBLE AS residual")
+def ml_linear_rule_summary(spark, sf_dir):
+    """Coefficients, fit and largest residual of an exact linear label."""
+    fitted = learning.linear_regression(linear_lines(spark, sf_dir), "label", penalty=0.0)
+    known = learning.regression_summary(fitted)
+    values = [*known["coefficients"], known["intercept"], known["r2"]]
+    worst = learning.residuals(fitted).agg(F.round(F.max(F.abs("residuals")), 4).alias("residual"))
+    return worst.select(*[F.lit(round(v, 4)).alias(n) for v, n in zip(values, ("line", "discount", "intercept", "r2"))], "residual")
+
+
+@query("SELECT 2 AS depth, 1.0::DOUBLE AS accuracy")
+def ml_grid_rule(spark, sf_dir):
+    """Two thresholds take a tree of depth 2; of equally good trees the first wins."""
+    label = F.when(F.col("l_linenumber") <= 2, 0.0).when(F.col("l_linenumber") <= 4, 1.0).otherwise(2.0)
+    trials = learning.grid_search(ruled_lines(spark, sf_dir, label), ROW_KEY, "label", [0.8], [1, 2, 3])
+    return learning.best_trial(trials).select("depth", "accuracy")
