@@ -98,10 +98,15 @@ def _exact(weighting: str) -> Column:
     return F.col("w").cast("decimal(20,12)" if weighting in FRACTIONAL else "bigint").alias("w")
 
 
+def _digest(*parts: str | Column) -> Column:
+    """MD5 of the parts as texts, a colon between: the same in any engine."""
+    return F.md5(F.concat_ws(":", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]))
+
+
 def _tie_order(tie: str, seed: int, step: int) -> list[Column]:
     if tie == "min":
         return [F.col("label")]
-    return [F.xxhash64(F.lit(seed), F.lit(step), "v", "label"), F.col("label")]
+    return [_digest(F.lit(str(seed)), F.lit(str(step)), "v", "label"), F.col("label")]
 
 
 def pick_labels(arcs: DataFrame, labels: DataFrame, hot: DataFrame, tie: str = "min",
@@ -117,10 +122,10 @@ def pick_labels(arcs: DataFrame, labels: DataFrame, hot: DataFrame, tie: str = "
     return votes.groupBy("v").agg(F.min_by("label", order).alias("label"))
 
 
-def layout(arcs: DataFrame, hot: DataFrame) -> DataFrame:
-    """Arcs placed by source for ``pick_labels``, hot sources spread over slices."""
+def layout(arcs: DataFrame, hot: DataFrame, rows: int | None = None) -> DataFrame:
+    """Arcs placed by source for ``pick_labels``, hot sources spread over slices; ``rows`` is their number, if known."""
     placed = slice_rows(arcs, "src", "dst", hot).select("src", "slice", "dst", "w")
-    return materialize_by(placed, arcs.count(), "src", "slice")
+    return materialize_by(placed, arcs.count() if rows is None else rows, "src", "slice")
 
 
 def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "min", seed: int = 42,
@@ -136,9 +141,10 @@ def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "m
     hot = hot_keys(sources, "v", min_rows=min_hot_rows)
 
     def bucket(name: str) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed), F.col(name)), F.lit(buckets))
+        return F.conv(F.substring(_digest(F.lit(str(seed)), name), 1, 8), 16, 10).cast("bigint") % buckets
 
-    laid = [layout(arcs.where(bucket("dst") == b), hot) for b in range(buckets)]
+    sizes = {r.bucket: r.n for r in arcs.groupBy(bucket("dst").alias("bucket")).agg(F.count("*").alias("n")).collect()}
+    laid = [layout(arcs.where(bucket("dst") == b), hot, sizes.get(b, 0)) for b in range(buckets)]
     start = sources.select("v", F.col("v").alias("label"))
     labels = [start.where(bucket("v") == b) for b in range(buckets)]
 

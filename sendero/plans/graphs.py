@@ -36,6 +36,17 @@ def label_rounds(rounds: int) -> str:
         fin AS (SELECT v, label FROM l WHERE i = {rounds}) """
 
 
+BUCKETED = M + """, l AS (SELECT 0 AS i, src AS v, src AS label FROM (SELECT DISTINCT src FROM m)
+        UNION ALL SELECT i + 1 AS i, v, label FROM (
+            SELECT l.i, m.dst AS v, l.label, row_number() OVER (PARTITION BY m.dst ORDER BY sum(m.w) DESC,
+                       md5('42:' || (l.i // 3 + 1) || ':' || m.dst || ':' || l.label), l.label) AS k
+            FROM l JOIN m ON l.v = m.src
+            WHERE l.i < 6 AND ('0x' || substr(md5('42:' || m.dst), 1, 8))::BIGINT % 3 = l.i % 3
+            GROUP BY l.i, m.dst, l.label
+            UNION ALL SELECT i, v, label, 1 FROM l
+            WHERE i < 6 AND ('0x' || substr(md5('42:' || v), 1, 8))::BIGINT % 3 <> i % 3) WHERE k = 1)
+    SELECT v, label FROM l WHERE i = 6"""
+
 RANKED = T + """, w AS (SELECT src, dst, count(*) AS w FROM t GROUP BY 1, 2),
     o AS (SELECT src, sum(w) AS t FROM w GROUP BY 1),
     vs AS (SELECT src AS v FROM w UNION SELECT dst FROM w),
@@ -169,6 +180,12 @@ def g_lpa_sync(spark, sf_dir):
     return multigraph_labels(trade_multigraph(spark, sf_dir), rounds=2)
 
 
+@query(BUCKETED)
+def g_lpa_buckets(spark, sf_dir):
+    """Two rounds of the default form: buckets of vertices in turn, ties by a seeded hash."""
+    return propagate(multigraph_arcs(trade_multigraph(spark, sf_dir)), rounds=2, buckets=3, tie="hash", seed=42, stop=None)
+
+
 @query(label_rounds(5) + "SELECT v, label FROM fin")
 def g_lpa_five_rounds(spark, sf_dir):
     return multigraph_labels(trade_multigraph(spark, sf_dir))
