@@ -1,12 +1,14 @@
 """Near-duplicate documents by b-bit MinHash.
 
-Equal shingle sets are one *representative*. A representative has ``BANDS * ROWS`` minima; bands of ``ROWS`` whole
-minima give the buckets, and the lowest ``B`` bits of all minima, packed, give a similarity estimate by counting bits,
+Equal shingle sets are one *representative*. A representative has ``MINIMA`` minima; bands of ``ROWS`` whole ones
+give the buckets, and the lowest ``B`` bits of all minima, packed, give a similarity estimate by counting bits,
 corrected for chance collisions. Estimated pairs are confirmed on the full sets.
 
-No bucket is expanded into all pairs. First every member meets its bucket's smallest member. What is then still in
-several components of one bucket meets in blocks: members outside the bucket's largest component against all others,
-best estimates first, in widening rounds, and only pairs that could still join two components are confirmed.
+No bucket is expanded into all pairs. First every document meets the smallest member of all its buckets, then what is
+still apart the smallest member of each bucket. What is then still in
+several components of one bucket meets there: members outside the bucket's largest component against all others, in
+large buckets by blocks and best estimates first, and only likely pairs that could still join two components are
+confirmed.
 """
 
 from __future__ import annotations
@@ -22,17 +24,20 @@ from sendero.llm.shingles import mix, shingle_sets
 from sendero.session import materialize, table_path
 
 BANDS, ROWS = 32, 4
+#: Minima of a set; the first ``BANDS * ROWS`` of them make the bands, all of them the estimate.
+MINIMA = 256
 B = 2
-SIGNATURE_LONGS = BANDS * ROWS * B // 64
-#: The estimate's standard error is at most 0.05; pairs this far below the threshold are left out.
-MARGIN = 0.2
+SIGNATURE_LONGS = MINIMA * B // 64
+#: Four standard errors of the estimate at a similarity of 0.8 to 0.85; pairs this far below the threshold are left out.
+MARGIN = 0.1
 BLOCK_ROWS = 1024
-WIDENING = 8
+#: Partners of a document in a block that the first round confirms.
+FIRST_ROUND = 8
 EVEN_BITS = 0x5555555555555555
 
 _random = np.random.default_rng(5)
-FACTORS = _random.integers(0, 2**32, BANDS * ROWS, np.uint32) | np.uint32(1)
-SHIFTED = _random.integers(0, 2**32, BANDS * ROWS, np.uint32)
+FACTORS = _random.integers(0, 2**32, MINIMA, np.uint32) | np.uint32(1)
+SHIFTED = _random.integers(0, 2**32, MINIMA, np.uint32)
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("content", pa.binary()),
                     ("bands", pa.list_(pa.int64())), ("packed", pa.list_(pa.int64()))])
 
@@ -53,7 +58,7 @@ def minima(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def band_keys(minima_: np.ndarray) -> np.ndarray:
-    parts = minima_.reshape(len(minima_), BANDS, ROWS).astype(np.uint64)
+    parts = minima_[:, :BANDS * ROWS].reshape(len(minima_), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
     for i in range(ROWS):
         keys = mix(keys + parts[:, :, i])
@@ -62,7 +67,7 @@ def band_keys(minima_: np.ndarray) -> np.ndarray:
 
 def pack_bits(minima_: np.ndarray) -> np.ndarray:
     """The lowest ``B`` bits of each minimum, packed into ``SIGNATURE_LONGS`` integers."""
-    low = (minima_ & np.uint32(2**B - 1)).astype(np.uint64).reshape(len(minima_), SIGNATURE_LONGS, -1)
+    low = (minima_ & np.uint32(2**B - 1)).astype(np.uint64).reshape(len(minima_), SIGNATURE_LONGS, 64 // B)
     places = np.arange(0, 64, B, dtype=np.uint64)
     return np.bitwise_or.reduce(low << places, axis=2).view(np.int64)
 
@@ -92,7 +97,7 @@ def estimate(a: str, b: str) -> Column:
     def differing(i: int) -> Column:
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
         return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(EVEN_BITS)))
-    unequal = sum((differing(i) for i in range(1, SIGNATURE_LONGS)), differing(0)) / (BANDS * ROWS)
+    unequal = sum((differing(i) for i in range(1, SIGNATURE_LONGS)), differing(0)) / MINIMA
     return (1 - unequal - 2.0**-B) / (1 - 2.0**-B)
 
 
@@ -135,46 +140,80 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_pairs(members: DataFrame, low: float, ranks: tuple[int, int]) -> DataFrame:
-    """Pairs ``(a, b)`` of different components in one bucket, by blocks.
+def _first_shared(x: Column, y: Column) -> Column:
+    """The first band in which two documents meet: there, and in no other bucket, their pair is looked at."""
+    return F.array_position(F.zip_with(x, y, lambda a, b: a == b), F.lit(True)) - 1
 
-    ``members (bucket, doc_id, component, packed)``. Of each outsider's partners in a block, sorted by estimate, those
-    with a place in ``ranks`` come out, so a pair has its place in every round, whatever has been joined meanwhile.
-    """
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """``members`` of buckets with several components, and their bucket's size ``n`` and largest component ``main``."""
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                          F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    rows = (members.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                       F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    return members.join(main.drop("parts"), "bucket")
+
+
+def _pairs_with_leaders(open_members: DataFrame, low: float) -> DataFrame:
+    """Likely pairs ``(a, b)`` of a member and its bucket's smallest member, in different components."""
+    leaders = open_members.where("doc_id = b").select("bucket", F.col("component").alias("theirs"), F.col("packed").alias("y"))
+    return (open_members.join(leaders, "bucket").where((F.col("component") != F.col("theirs")) & (estimate("packed", "y") >= low))
+            .select(F.col("doc_id").alias("a"), "b").distinct())
+
+
+def _pairs_in_small(open_members: DataFrame, low: float) -> DataFrame:
+    """Likely pairs ``(a, b)`` of different components in buckets of at most ``BLOCK_ROWS``, by a join per bucket."""
+    small = open_members.where(F.col("n") <= BLOCK_ROWS)
+    names = ["doc_id", "component", "bands", "packed"]
+    x = small.where(F.col("component") != F.col("main")).select(
+        "bucket", "band", F.col("main").alias("main"), *[F.col(c).alias(f"x_{c}") for c in names])
+    y = small.select(F.col("bucket").alias("y_bucket"), *[F.col(c).alias(f"y_{c}") for c in names])
+    # Two outsiders see each other twice; the smaller id speaks.
+    once = (F.col("y_component") == F.col("main")) | (F.col("x_doc_id") < F.col("y_doc_id"))
+    met = _first_shared(F.col("x_bands"), F.col("y_bands")) == F.col("band")
+    likely = ((F.col("bucket") == F.col("y_bucket")) & (F.col("x_component") != F.col("y_component")) & once
+              & (estimate("x_packed", "y_packed") >= low) & met)
+    return x.join(y, likely).select(F.greatest("x_doc_id", "y_doc_id").alias("a"),
+                                    F.least("x_doc_id", "y_doc_id").alias("b"))
+
+
+def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int | None]) -> DataFrame:
+    """The same in larger buckets, by blocks of about ``BLOCK_ROWS``: outsiders against all.
+
+    Of each outsider's likely partners in a block, sorted by estimate, those with a place in ``ranks`` come out, so a
+    pair has its place in either round, whatever has been joined meanwhile.
+    """
+    rows = (open_members.where(F.col("n") > BLOCK_ROWS).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
             .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1))
-    columns = ["doc_id", "component", "packed"]
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    columns = ["band", "doc_id", "component", "bands", "packed"]
     outside = rows.where(F.col("component") != F.col("main")).select(
         "bucket", F.col("own").alias("i"), every.alias("j"), *columns)
     inside = rows.select(F.col("bucket").alias("bucket"), every.alias("i"), F.col("own").alias("j"),
                          *[F.col(c).alias(c) for c in columns])  # columns of their own, not shared with the other side
+    most = int((1 - low) * (1 - 2.0**-B) * MINIMA)
+
+    def matrix(t: pa.Table, column: str) -> np.ndarray:
+        return t.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.schema([("a", pa.int64()), ("b", pa.int64())]).empty_table()
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         if not left.num_rows or not right.num_rows:
-            return empty
-        ids, parts, bits = [], [], []
-        for t in (left, right):
-            ids.append(t.column("doc_id").to_numpy())
-            parts.append(t.column("component").to_numpy())
-            bits.append(t.column("packed").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-                        .view(np.uint64).reshape(len(t), -1))
-        found = [], []
+            return schema.empty_table()
+        ids, parts = ([t.column(c).to_numpy() for t in (left, right)] for c in ("doc_id", "component"))
+        bands, bits = ([matrix(t, c) for t in (left, right)] for c in ("bands", "packed"))
+        band, found = left.column("band")[0].as_py(), ([], [])
         for row in range(len(ids[0])):
-            x = bits[1] ^ bits[0][row]
+            x = (bits[1] ^ bits[0][row]).view(np.uint64)
             unequal = np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(EVEN_BITS)).sum(axis=1, dtype=np.int64)
-            near = np.flatnonzero((unequal <= (1 - low) * (1 - 2.0**-B) * BANDS * ROWS) & (ids[1] != ids[0][row]))
-            near = near[np.lexsort((ids[1][near], unequal[near]))][ranks[0]:ranks[1]]
+            near = np.flatnonzero((unequal <= most) & (ids[1] != ids[0][row]))
+            near = near[np.lexsort((ids[1][near], unequal[near]))]
+            near = near[(bands[1][near] == bands[0][row]).argmax(axis=1) == band][ranks[0]:ranks[1]]
             near = near[parts[1][near] != parts[0][row]]
-            found[0].append(np.minimum(ids[1][near], ids[0][row]))
-            found[1].append(np.maximum(ids[1][near], ids[0][row]))
-        return pa.table({"b": np.concatenate(found[0]), "a": np.concatenate(found[1])}).select(["a", "b"])
+            found[0].append(np.maximum(ids[1][near], ids[0][row]))
+            found[1].append(np.minimum(ids[1][near], ids[0][row]))
+        return pa.Table.from_arrays([pa.array(np.concatenate(f), pa.int64()) for f in found], schema=schema)
     block = ["bucket", "i", "j"]
-    return outside.groupBy(*block).cogroup(inside.groupBy(*block)).applyInArrow(compare, "a bigint, b bigint").distinct()
+    return outside.groupBy(*block).cogroup(inside.groupBy(*block)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id",
@@ -196,34 +235,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     classes = materialize(filled.groupBy("content").agg(F.min("doc_id").alias("rep")))
     reps = (filled.join(classes, "content").where("doc_id = rep").dropDuplicates(["doc_id", "content"])
             .select("doc_id", "bands", "packed"))
-    members = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
     shared = materialize(members.join(buckets.select("bucket", "b"), "bucket"))
-    family = shared.select("doc_id").distinct()
-    signatures = materialize(reps.select("doc_id", "packed").join(family, "doc_id"))
+    family = materialize(shared.select("doc_id").distinct())
+    signatures = materialize(reps.join(family, "doc_id"))
     whole = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
     whole.join(family, "doc_id").dropDuplicates(["doc_id", "text"]).write.parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
 
-    first = shared.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
-    likely = (first.join(signatures.select(F.col("doc_id").alias("a"), F.col("packed").alias("x")), "a")
-              .join(signatures.select(F.col("doc_id").alias("b"), F.col("packed").alias("y")), "b")
-              .where(estimate("x", "y") >= low).select("a", "b"))
-    links = materialize(confirm(likely, texts, size, percent))
-    parts, ranks = components(links), (0, 2)
-    while ranks[0] < 2 * BLOCK_ROWS:
-        placed = (shared.select("bucket", "doc_id").join(parts, "doc_id", "left")
-                  .withColumn("component", F.coalesce("component", "doc_id")))
-        mixed = placed.groupBy("bucket").agg((F.min("component") != F.max("component")).alias("open")).where("open")
-        waiting = materialize(placed.join(mixed.select("bucket"), "bucket").join(signatures, "doc_id"))
-        found = materialize(confirm(_open_pairs(waiting, low, ranks), texts, size, percent))
-        ranks = (ranks[1], ranks[1] * WIDENING)
-        if not found.isEmpty():
-            links = materialize(links.union(found))
-            parts = components(links)
+    def placed(links: DataFrame) -> DataFrame:
+        """Members of the buckets that still hold several components, with all that pairs are judged by."""
+        rows = (shared.join(components(links), "doc_id", "left")
+                .withColumn("component", F.coalesce("component", "doc_id")))
+        return materialize(_open_buckets(rows).join(signatures, "doc_id"))
+
+    first = shared.groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")).where("a != b")
+    links = materialize(confirm(first, texts, size, percent))
+    waiting = placed(links)
+    links = materialize(links.union(confirm(_pairs_with_leaders(waiting, low), texts, size, percent)))
+    for ranks in ((0, FIRST_ROUND), (FIRST_ROUND, None)):
+        waiting = placed(links)
+        pairs = _pairs_in_large(waiting, low, ranks)
+        if not ranks[0]:
+            pairs = pairs.union(_pairs_in_small(waiting, low))
+        links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
+    parts = components(links)
     reached = classes.join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "content", F.coalesce("component", "rep").alias("component"))
     out = signed.join(reached, "content", "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
