@@ -26,9 +26,9 @@ HELD_WINDOWS = 1_000_000
 MEMO_WORDS = 400_000
 
 # Units, one word each.
-UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles g kg mg t lb lbs pound pounds oz ounce "
+UNITS = frozenset(("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles g kg mg t lb lbs pound pounds oz ounce "
          "ounces l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour hours "
-         "day days week weeks month months year years usd eur dollar dollars cent cents euro euros percent").split()
+         "day days week weeks month months year years usd eur dollar dollars cent cents euro euros percent").split())
 WORD, NAME, NUMBER, UNIT, NOTHING = range(5)
 EDGES = re.compile(r"^[^\w$€£%+-]+|[^\w$€£%]+$")
 NUMERIC = re.compile(r"[+-]?[$€£]?[0-9][0-9.,:/]*%?")
@@ -40,63 +40,57 @@ class Templates(dict):
     """Numbers for stretches between blanks, and what each stretch may be, worked out once per distinct stretch."""
 
     def __init__(self):
-        self.texts: list[str] = []
-        self.kinds: list[int] = []
-        self.capital: list[bool] = []
-        self.ends: list[bool] = []
-        self.hashes = np.empty(0, np.uint64)
+        self.seen: list[tuple[str, int, bool, bool]] = []  # text, kind, capital, whether it ends a sentence
+        self.columns = [np.empty(0, t) for t in (np.int8, bool, bool, np.uint64)]
 
     def __missing__(self, chunk: str) -> int:
-        core = EDGES.sub("", chunk)
+        core = chunk
+        if not chunk.isalpha():
+            core = chunk[:-1] if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?" else EDGES.sub("", chunk)
         low = core.lower()
-        self.texts.append(low)
-        self.kinds.append(NOTHING if not core else NUMBER if NUMERIC.fullmatch(low) or (
-            (m := MEASURED.fullmatch(low)) and m[2] in UNITS) else UNIT if low in UNITS else WORD)
-        self.capital.append(core[:1].isupper())
-        self.ends.append(chunk[-1:] in ".!?:;")
-        self[chunk] = len(self.texts) - 1
-        return self[chunk]
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """``(numbers, kinds)`` of a text's tokens; those without a letter or digit are left out.
-
-        A capital makes a name unless it opens the text or follows the end of a sentence. A unit is one only right
-        after a number.
+        if low.isalpha():
+            kind = UNIT if low in UNITS else WORD
+        else:
+            kind = NOTHING if not core else NUMBER if NUMERIC.fullmatch(low) or (
+                (m := MEASURED.fullmatch(low)) and m[2] in UNITS) else WORD
+        self[chunk] = number = len(self.seen)
+        self.seen.append((low, kind, core[:1].isupper(), chunk[-1] in ".!?:;"))
+        return number
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(numbers, kinds, hashes, counts)`` of all texts' tokens in a row, and how many each text has.
+
+        What has no letter or digit is no token. A capital makes a name unless it opens the text or follows the end of
+        a sentence. A unit is one only right after a number.
         """
-        at = np.fromiter(map(self.__getitem__, text.split()), np.int64)
-        kinds, ends = self._all("kinds")[at], self._all("ends")[at]
-        opens = np.concatenate([[True], ends[:-1]])[:len(at)]
-        after_number = np.concatenate([[False], kinds[:-1] == NUMBER])[:len(at)]
+        parts = [np.fromiter(map(self.__getitem__, t.split()), np.int64) for t in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        at = np.concatenate([*parts, np.empty(0, np.int64)])
+        kinds, capital, ends, hashes = (column[at] for column in self._columns())
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        opens, after_number = np.roll(ends, 1), np.roll(kinds == NUMBER, 1)
+        opens[first], after_number[first] = True, False
         kinds = np.where((kinds == UNIT) & ~after_number, WORD, kinds)
-        kinds = np.where((kinds == WORD) & self._all("capital")[at] & ~opens, NAME, kinds)
-        kept = kinds != NOTHING
-        return at[kept], kinds[kept]
-
-    def _all(self, name: str) -> np.ndarray:
-        cached = self.__dict__.setdefault("_arrays", {})
-        values = getattr(self, name)
-        if name not in cached or len(cached[name]) < len(values):
-            old = cached.get(name, np.empty(0, np.int8 if name == "kinds" else bool))
-            cached[name] = np.concatenate([old, np.array(values[len(old):], old.dtype)])
-        return cached[name]
-
-    def token_hashes(self, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-        if len(self.hashes) < len(self.texts):
-            new = [t.encode() for t in self.texts[len(self.hashes):]]
-            own, counts = word_hashes(new)
-            filled = np.zeros(len(new), np.uint64)
-            filled[counts > 0] = own[(np.cumsum(counts) - counts)[counts > 0]]
-            self.hashes = np.concatenate([self.hashes, filled])
-        out = self.hashes[at]
+        kinds = np.where((kinds == WORD) & capital & ~opens, NAME, kinds)
         for kind, value in zip((NAME, NUMBER, UNIT), PLACEHOLDERS):
-            out[kinds == kind] = value
-        return out
+            hashes[kinds == kind] = value
+        kept = kinds != NOTHING
+        counts = np.bincount(np.repeat(np.arange(len(texts)), sizes)[kept], minlength=len(texts))
+        return at[kept], kinds[kept], hashes[kept], counts
+
+    def _columns(self) -> list[np.ndarray]:
+        """Kind, capital, end and hash of all stretches seen so far."""
+        texts, *new = zip(*self.seen[len(self.columns[0]):], strict=True) if len(self.seen) > len(self.columns[0]) else ((),) * 4
+        own, counts = word_hashes([t.encode() for t in texts])
+        hashes = np.zeros(len(counts), np.uint64)
+        hashes[counts > 0] = own[(np.cumsum(counts) - counts)[counts > 0]]
+        self.columns = [np.concatenate([old, np.array(more, old.dtype)]) for old, more in zip(self.columns, [*new, hashes])]
+        return self.columns
 
     def bound(self) -> None:
         if len(self) > MEMO_WORDS:
             self.clear()
             self.__init__()
-            self.__dict__.pop("_arrays", None)
 
 
 def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: int,
@@ -111,26 +105,23 @@ def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: i
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
         for batch in by_bytes(batches, "_text"):
-            hashes, keys, places, slots = [], [], [], []
-            for key_, text_ in zip(batch.column("_key").to_pylist(), batch.column("_text").to_pylist()):
-                at, kinds = reader.read(text_ or "")
-                if len(at) < size:
-                    continue
-                own = window_hashes(reader.token_hashes(at, kinds), size)
-                words = np.concatenate([[0], np.cumsum(kinds == WORD)])
-                wanted = words[size:] - words[:-size] >= literal
-                if known is not None:
-                    near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
-                    wanted &= known.value[near] == own if len(known.value) else False
-                for i in np.flatnonzero(wanted).tolist():
-                    hashes.append(int(own[i].view(np.int64)))
-                    keys.append(key_)
-                    places.append(i)
-                    slots.append([f"{k}{reader.texts[t]}" for t, k in
-                                  zip(at[i:i + size].tolist(), kinds[i:i + size].tolist()) if k != WORD])
+            at, kinds, tokens, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
+            ends = np.cumsum(counts)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            own = window_hashes(tokens, size)
+            words = np.concatenate([[0], np.cumsum(kinds == WORD)])
+            wanted = (owner[size - 1:] == owner[:len(own)]) & (words[size:] - words[:len(own)] >= literal)
+            if known is not None:
+                near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
+                wanted &= known.value[near] == own if len(known.value) else False
+            hits = np.flatnonzero(wanted)
+            hashes, keys = own[hits].view(np.int64), batch.column("_key").take(pa.array(owner[hits]))
+            places = hits - (ends - counts)[owner[hits]]
+            slots = [[f"{k}{reader.seen[t][0]}" for t, k in zip(at[i:i + size].tolist(), kinds[i:i + size].tolist()) if k != WORD]
+                     for i in hits.tolist()]
             reader.bound()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.int64()), pa.array(keys, pa.int64()), pa.array(places, pa.int64()),
+                [pa.array(hashes, pa.int64()), keys, pa.array(places, pa.int64()),
                  pa.array(slots, pa.list_(pa.string()))], ["hash", "key", "at", "slots"])
     keyed = rows.select(rows[key].cast("bigint").alias("_key"), rows[text].alias("_text"))
     return keyed.mapInArrow(emit, "hash bigint, key bigint, at bigint, slots array<string>")
