@@ -26,6 +26,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
+from sendero.llm.scratch import drop_finished_shuffles
 from sendero.llm.shingles import window_hashes, word_hashes
 from sendero.session import materialize, table_path
 
@@ -48,23 +49,23 @@ def anchors(words: np.ndarray, size: int, anchor: int = ANCHOR) -> np.ndarray:
     return sliding_window_view(hashes, size - anchor + 1).min(axis=1)
 
 
-def squeeze(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(doc_id, row, content, n_words, packed)``: each text's words with one blank between, packed, and their digest.
+def squeeze(docs: DataFrame, packed: bool) -> DataFrame:
+    """``(doc_id, row, content, n_words)``: digest and number of each text's words, from ``(doc_id, text)``.
 
-    ``row`` tells rows of one key with different words apart.
+    ``row`` tells rows of one key with different words apart. With ``packed`` the words come too, compressed, with one
+    blank between, for the text to travel.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(1).compress
-        for batch in by_bytes(batches, "_text"):
-            words = [(t or "").encode().split() for t in batch.column("_text").to_pylist()]
+        for batch in by_bytes(batches, "text"):
+            words = [(t or "").encode().split() for t in batch.column("text").to_pylist()]
             texts = [b" ".join(w) for w in words]
             digests = [hashlib.sha256(t).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests]),
-                 pa.array(digests, pa.binary()), pa.array(map(len, words), pa.int64()),
-                 pa.array(map(pack, texts), pa.binary())], ["doc_id", "row", "content", "n_words", "packed"])
-    return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("_text")).mapInArrow(
-        rows, "doc_id bigint, row bigint, content binary, n_words bigint, packed binary")
+            columns = {"doc_id": batch.column("doc_id"),
+                       "row": pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
+                       "content": pa.array(digests, pa.binary()), "n_words": pa.array(map(len, words), pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns | ({"packed": pa.array(map(pack, texts), pa.binary())} if packed else {}))
+    return docs.mapInArrow(rows, "doc_id bigint, row bigint, content binary, n_words bigint" + ", packed binary" * packed)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -72,21 +73,28 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [unpack(p) for p in batch.column("packed").to_pylist()]
 
 
-def _anchor_rows(squeezed: DataFrame, size: int) -> DataFrame:
+def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
     """``(doc_id, anchor)``: the distinct anchors of each text."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "packed", BATCH):
-            words, counts = word_hashes(_texts(batch))
+        for batch in by_bytes(batches, "text"):
+            words, counts = word_hashes([(t or "").encode() for t in batch.column("text").to_pylist()])
             ends = np.cumsum(counts)
             found = [np.unique(anchors(words[e - n:e], size)).view(np.int64) for e, n in zip(ends, counts)]
             owners = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(f) for f in found])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(owners, pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["doc_id", "anchor"])
-    return squeezed.mapInArrow(emit, "doc_id bigint, anchor bigint")
+    return docs.where("doc_id is not null").mapInArrow(emit, "doc_id bigint, anchor bigint")
+
+
+def _mark(segment: bytes) -> bytes:
+    return hashlib.blake2b(segment, digest_size=16).digest()
 
 
 def _segments(rows: DataFrame, size: int) -> DataFrame:
-    """``(shard_key, segment, doc_id, row, start)`` from rows with ``packed`` and recurring anchors, ``cold`` and ``hot``."""
+    """``(shard_key, segment, mark, doc_id, row, start)`` from rows with ``packed`` and recurring anchors, ``cold``, ``hot``.
+
+    ``mark`` is a digest of the segment, which joins the shards' results back to it.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "packed", BATCH):
             texts = _texts(batch)
@@ -111,14 +119,15 @@ def _segments(rows: DataFrame, size: int) -> DataFrame:
                 docs += [doc] * len(first)
                 versions += [version] * len(first)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(segments, pa.binary()), pa.array(docs, pa.int64()),
-                 pa.array(versions, pa.int64()), pa.array(starts, pa.int64())],
-                ["shard_key", "segment", "doc_id", "row", "start"])
-    return rows.mapInArrow(cut, "shard_key bigint, segment binary, doc_id bigint, row bigint, start bigint")
+                [pa.array(keys, pa.int64()), pa.array(segments, pa.binary()), pa.array(map(_mark, segments), pa.binary()),
+                 pa.array(docs, pa.int64()), pa.array(versions, pa.int64()), pa.array(starts, pa.int64())],
+                ["shard_key", "segment", "mark", "doc_id", "row", "start"])
+    return rows.mapInArrow(
+        cut, "shard_key bigint, segment binary, mark binary, doc_id bigint, row bigint, start bigint")
 
 
 def _locate(shard: pa.Table, size: int) -> pa.Table:
-    """``(shard_key, segment, firsts)``: per window of a segment the first document that holds it.
+    """``(shard_key, mark, firsts)``: per window of a segment the first document that holds it.
 
     ``shard (shard_key, segment, first)`` holds distinct segments and the first document of each.
     """
@@ -146,35 +155,43 @@ def _locate(shard: pa.Table, size: int) -> pa.Table:
             text = " %s " % segment.decode("latin-1")
             for end, first in automaton.iter(text):
                 found[text.count(" ", 0, end) - size] = first
-    return pa.table({"shard_key": pa.array(keys, pa.int64()), "segment": pa.array(segments, pa.binary()),
+    return pa.table({"shard_key": pa.array(keys, pa.int64()), "mark": pa.array(map(_mark, segments), pa.binary()),
                      "firsts": pa.array(firsts, pa.list_(pa.int64()))})
 
 
-def repeated_places(squeezed: DataFrame, firsts: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``(doc_id, row, places)``: first words of the windows that also start in a document with a smaller id.
-
-    ``firsts (doc_id, row)`` names the first row of each class of equal word sequences; only those are compared.
-    """
-    found = _anchor_rows(squeezed.select("doc_id", "packed"), size)
+def _wanted(docs: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
+    """``(doc_id, row, cold, hot)``: the recurring anchors of the rows ``firsts (doc_id, row)``."""
+    found = _anchor_rows(docs, size)
     recurring = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     hits = found.join(recurring, "anchor").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("n") <= HOT, F.col("anchor"))).alias("cold"),
         F.collect_list(F.when(F.col("n") > HOT, F.col("anchor"))).alias("hot"))
-    wanted = materialize(firsts.join(hits, "doc_id"))
-    path = table_path(squeezed.sparkSession, "segments")
-    texts = squeezed.select("doc_id", "row", "packed").join(wanted, ["doc_id", "row"])
-    _segments(texts.dropDuplicates(["doc_id", "row"]), size).write.parquet(path)
-    segments = squeezed.sparkSession.read.parquet(path)
+    return materialize(firsts.join(hits, "doc_id"))
+
+
+def repeated_places(docs: DataFrame, firsts: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``(doc_id, row, places)``: first words of the windows that also start in a document with a smaller id.
+
+    ``firsts (doc_id, row)`` names the first row of each class of equal word sequences; only those are compared.
+    """
+    wanted = _wanted(docs, firsts, size)
+    drop_finished_shuffles(docs.sparkSession)
+    path = table_path(docs.sparkSession, "segments")
+    texts = squeeze(docs, packed=True).select("doc_id", "row", "packed").join(wanted, ["doc_id", "row"])
+    _segments(texts.dropDuplicates(["doc_id", "row"]), size).write.option("compression", "zstd").parquet(path)
+    del texts
+    drop_finished_shuffles(docs.sparkSession)
+    segments = docs.sparkSession.read.parquet(path)
     distinct = segments.groupBy("shard_key", "segment").agg(
         F.min("doc_id").alias("first"), (F.max("doc_id") - F.min("doc_id") + 1).alias("copies"))
     shards = segments.count() // SHARD_SEGMENTS + 1
     located = (distinct.groupBy(F.pmod(F.xxhash64("shard_key"), F.lit(shards)).alias("shard"))
-               .applyInArrow(lambda t: _locate(t, size), "shard_key bigint, segment binary, firsts array<bigint>"))
+               .applyInArrow(lambda t: _locate(t, size), "shard_key bigint, mark binary, firsts array<bigint>"))
     later = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("start") + i)),
                      lambda place: place.isNotNull())
-    return (segments.join(located, ["shard_key", "segment"]).select("doc_id", "row", later.alias("places"))
-            .where(F.size("places") > 0)
-            .groupBy("doc_id", "row").agg(F.flatten(F.collect_list("places")).alias("places")))
+    rows = segments.select("shard_key", "mark", "doc_id", "row", "start").join(located, ["shard_key", "mark"])
+    return materialize(rows.select("doc_id", "row", later.alias("places")).where(F.size("places") > 0)
+                       .groupBy("doc_id", "row").agg(F.flatten(F.collect_list("places")).alias("places")))
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,17 +202,17 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, key: str = "doc_id", tex
     words. Rows with one key are one document to each other, so neither loses words to the other; rows with a null key
     lose and cause none. Other columns are not read.
     """
-    squeezed = squeeze(docs, key, text)
-    small = squeezed.select("doc_id", "row", "content", "n_words").where("doc_id is not null").where(
-        F.col("n_words") >= size)
+    docs = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
+    small = squeeze(docs, packed=False).where("doc_id is not null").where(F.col("n_words") >= size)
     classes = materialize(small.groupBy("content").agg(F.min(F.struct("doc_id", "row")).alias("first")))
     firsts = classes.select("first.doc_id", "first.row")
     later = small.join(classes, "content").where("doc_id > first.doc_id").select("doc_id", "row").distinct()
-    places = repeated_places(squeezed, firsts, size)
+    places = repeated_places(docs, firsts, size)
+    drop_finished_shuffles(docs.sparkSession)
     known = (places.withColumn("copy", F.lit(False))
              .unionByName(later.select("doc_id", "row", F.lit(None).cast("array<bigint>").alias("places"),
                                        F.lit(True).alias("copy"))))
-    rows = squeezed.select("doc_id", "row", "n_words", "packed").join(known, ["doc_id", "row"], "left")
+    rows = squeeze(docs, packed=True).select("doc_id", "row", "n_words", "packed").join(known, ["doc_id", "row"], "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "packed", BATCH):
