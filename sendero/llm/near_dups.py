@@ -4,11 +4,10 @@ Equal shingle sets are one *representative*. A representative has ``MINIMA`` min
 give the buckets, and the lowest ``B`` bits of all minima, packed, give a similarity estimate by counting bits,
 corrected for chance collisions. Estimated pairs are confirmed on the full sets.
 
-No bucket is expanded into all pairs. First every document meets the smallest member of all its buckets, then what is
-still apart the smallest member of each bucket. What is then still in
-several components of one bucket meets there: members outside the bucket's largest component against all others, in
-large buckets by blocks and best estimates first, and only likely pairs that could still join two components are
-confirmed.
+No bucket is expanded into all pairs. First every document meets the smallest member of all its buckets, then, if it is
+still apart, the smallest member of each bucket. What is then in several components of one bucket meets there: members
+outside the bucket's largest component against all others, in large buckets by blocks and best estimates first, and only
+likely pairs that could still join two components are confirmed.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ BANDS, ROWS = 32, 4
 MINIMA = 256
 B = 2
 SIGNATURE_LONGS = MINIMA * B // 64
-#: Four standard errors of the estimate at a similarity of 0.8 to 0.85; pairs this far below the threshold are left out.
+#: 3.4 standard errors of the estimate at a similarity of 0.8, 3.8 at 0.85; pairs this far below the threshold are left out.
 MARGIN = 0.1
 BLOCK_ROWS = 1024
 #: Partners of a document in a block that the first round confirms.
