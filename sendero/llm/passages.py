@@ -36,7 +36,7 @@ ANCHOR = 5
 BATCH = 1 << 20
 #: Documents from which on an anchor's windows are dealt by their own hash.
 HOT = 10_000
-SHARD_SEGMENTS = 20_000
+SHARD_SEGMENTS = 5_000
 #: Phrases of one automaton; a shard with more of them compiles several, one after the other.
 PHRASES = 10_000
 
