@@ -145,11 +145,15 @@ def _first_shared(x: Column, y: Column) -> Column:
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """``members`` of buckets with several components, and their bucket's size ``n`` and largest component ``main``."""
+    """``members`` of buckets with several components, their bucket's size ``n`` and largest component ``main``.
+
+    ``outside`` says who is not in ``main``. Where ``members`` have it from an earlier round, it stays as it was.
+    """
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
                                        F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    return members.join(main.drop("parts"), "bucket")
+    found = members.join(main.drop("parts"), "bucket")
+    return found if "outside" in members.columns else found.withColumn("outside", F.col("component") != F.col("main"))
 
 
 def _pairs_with_leaders(open_members: DataFrame, low: float) -> DataFrame:
@@ -178,14 +182,15 @@ def _pairs_in_small(open_members: DataFrame, low: float) -> DataFrame:
 def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int | None]) -> DataFrame:
     """The same in larger buckets, by blocks of about ``BLOCK_ROWS``: outsiders against all.
 
-    Of each outsider's likely partners in a block, sorted by estimate, those with a place in ``ranks`` come out, so a
-    pair has its place in either round, whatever has been joined meanwhile.
+    Of each outsider's likely partners in a block, sorted by estimate, those with a place in ``ranks`` come out. Who is
+    an outsider was settled before the first round, so what that round put off is said by the same member in the second,
+    whatever has been joined meanwhile.
     """
     rows = (open_members.where(F.col("n") > BLOCK_ROWS).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
             .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     columns = ["band", "doc_id", "component", "bands", "packed"]
-    outside = rows.where(F.col("component") != F.col("main")).select(
+    outside = rows.where("outside").select(
         "bucket", F.col("own").alias("i"), every.alias("j"), *columns)
     inside = rows.select(F.col("bucket").alias("bucket"), every.alias("i"), F.col("own").alias("j"),
                          *[F.col(c).alias(c) for c in columns])  # columns of their own, not shared with the other side
@@ -243,9 +248,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     whole.join(family, "doc_id").dropDuplicates(["doc_id", "text"]).write.parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
 
-    def placed(links: DataFrame) -> DataFrame:
-        """Members of the buckets that still hold several components, with all that pairs are judged by."""
-        rows = (shared.join(components(links), "doc_id", "left")
+    def placed(links: DataFrame, members: DataFrame = shared) -> DataFrame:
+        """Those of ``members`` whose buckets still hold several components, with all that pairs are judged by."""
+        rows = (members.join(components(links), "doc_id", "left")
                 .withColumn("component", F.coalesce("component", "doc_id")))
         return materialize(_open_buckets(rows).join(signatures, "doc_id"))
 
@@ -253,12 +258,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     links = materialize(confirm(first, texts, size, percent))
     waiting = placed(links)
     links = materialize(links.union(confirm(_pairs_with_leaders(waiting, low), texts, size, percent)))
-    for ranks in ((0, FIRST_ROUND), (FIRST_ROUND, None)):
-        waiting = placed(links)
-        pairs = _pairs_in_large(waiting, low, ranks)
-        if not ranks[0]:
-            pairs = pairs.union(_pairs_in_small(waiting, low))
-        links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
+    waiting = placed(links)
+    pairs = _pairs_in_large(waiting, low, (0, FIRST_ROUND)).union(_pairs_in_small(waiting, low))
+    links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
+    put_off = waiting.where(F.col("n") > BLOCK_ROWS).select(*shared.columns, "outside")
+    pairs = _pairs_in_large(placed(links, put_off), low, (FIRST_ROUND, None))
+    links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
     parts = components(links)
     reached = classes.join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "content", F.coalesce("component", "rep").alias("component"))

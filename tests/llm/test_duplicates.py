@@ -80,6 +80,41 @@ def test_near_duplicates_of_a_chain(spark, monkeypatch, block_rows):
     assert got == brute_components(docs, 85)
 
 
+def two_groups(seed, first):
+    """Texts of which a small group, joined before the rounds, and a large one, joined in the first, have one link.
+
+    ``near`` is the large group's end of that link. Each of its group is nearer to it than the other end, ``far``, whose
+    nearest it is. Texts that resemble ``near`` too little come first in the buckets, so nothing there is joined early.
+    """
+    rng, fresh = random.Random(seed), itertools.count()
+
+    def edited(text, edits):
+        new = list(text)
+        for place in rng.sample(range(5, 295, 6), edits):
+            new[place] = f"n{first}x{next(fresh)}"
+        return new
+    base = [f"w{first}x{i}" for i in range(300)]
+    changed = iter(rng.sample(range(2, 300, 6), 11))
+    far, near = list(base), None
+    for _ in range(6):
+        far[next(changed)] = f"n{first}x{next(fresh)}"
+    near = list(far)
+    for _ in range(5):
+        near[next(changed)] = f"n{first}x{next(fresh)}"
+    texts = [base, *[edited(base, 1) for _ in range(5)], *[edited(near, 7) for _ in range(25)], far, near,
+             *[edited(near, 2) for _ in range(9)]]
+    return [(first + i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_near_duplicates_when_the_largest_component_changes(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_ROWS", 15)
+    monkeypatch.setattr(near_dups, "FIRST_ROUND", 1)
+    docs = [row for i in range(8) for row in two_groups(i, 100 * i)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: tuple(r)[1:] for r in near_duplicates(df, percent=80).collect()}
+    assert got == brute_components(docs, 80)
+
+
 def test_near_duplicates_of_edge_cases(spark, edge_docs, no_docs):
     got = sorted(((r.doc_id or 0, *tuple(r)[1:]) for r in near_duplicates(edge_docs).collect()), key=str)
     want = brute_components([(k, t) for k, t in EDGE_TEXTS if k is not None], 80)
