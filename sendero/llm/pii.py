@@ -22,8 +22,12 @@ SHAPES = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What has a digit or an at sign and starts after a blank; a phone number with blanks in it is one mention.
-MENTION = r"(?<!\S)(?:" + SHAPES["phone"] + r"|[^\s0-9@]*+[0-9@]\S*+)"
+#: Digit groups joined by dashes, dots or brackets; no IP address.
+GROUPS = r"(?!(?:[0-9]++\.){3}[0-9]++(?![0-9().-]*[0-9]))\(*+[0-9]++(?:[().-]++[0-9]++)*+\)*+"
+#: Such groups joined by single blanks too; each stretch between blanks has nothing else in it but marks at its end.
+WRITTEN_IN_GROUPS = (r"[^\s0-9@]*+(?<![\p{L}_])" + GROUPS + r"(?:\x20" + GROUPS + r"(?=[^\w\p{L}\s@]*+(?!\S)))++\S*+")
+#: What has a digit or an at sign and starts after a blank; a number written in groups is one mention.
+MENTION = r"(?<!\S)(?:" + SHAPES["phone"] + "|" + WRITTEN_IN_GROUPS + r"|[^\s0-9@]*+[0-9@]\S*+)"
 
 ROUNDS = 3
 CREDIBLE = 0.8
@@ -92,7 +96,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         before = F.lower(F.right(F.element_at("_mention_gaps", i + 1), F.lit(CONTEXT_CHARS)))
         words = F.filter(F.split(before, r"\s+"), lambda w: w != "")
         inside = F.filter("base", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"]))
-        return F.struct(span["start"].alias("start"), span["end"].alias("end"), span["value"].alias("value"),
+        head = F.when(span["value"].rlike(r"^\+[0-9]"), span["value"]).otherwise(F.regexp_extract(span["value"], r"^\S+", 0))
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), span["value"].alias("value"), head.alias("head"),
                         F.slice(F.reverse(words), 1, 2).alias("context"), F.get(inside, F.lit(0))["kind"].alias("kind"))
     return rows.select("doc_id", "row", "base", F.transform("_mention", mention).alias("mentions"))
 
@@ -132,14 +137,18 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Kinds 0 to 3 are base spans of ``KINDS``, kinds 4 to 7 what contexts added for the same kinds. ``row`` is a hash of
     the text, for rows that share a key. Null and empty texts have no spans; null keys and repeated rows keep a row
     each, and null keys get no added spans. Other columns are not read. Texts are read once; what follows works on a
-    written table of their mentions.
+    written table of their mentions. A mention is added if its value is credible, or, for a number written in groups, its
+    first stretch; the span is the whole mention in either case.
     """
     path = table_path(docs.sparkSession, "mentions")
     scan(docs, key, text).write.parquet(path)
     scanned = docs.sparkSession.read.parquet(path)
     mentions = scanned.select("doc_id", "row", F.explode("mentions").alias("m")).select("doc_id", "row", "m.*")
-    values = score_values(mentions)
-    added = (mentions.where("kind is null").drop("kind").join(values, "value").groupBy("doc_id", "row")
+    values = score_values(mentions).withColumnRenamed("kind", "by_value")
+    heads = (score_values(mentions.select(F.col("head").alias("value"), "context", "kind"))
+             .select(F.col("value").alias("head"), F.col("kind").alias("by_head")))
+    added = (mentions.where("kind is null").join(values, "value", "left").join(heads, "head", "left")
+             .withColumn("kind", F.coalesce("by_value", "by_head")).where("kind is not null").groupBy("doc_id", "row")
              .agg(F.collect_set(F.struct((F.col("kind") + len(KINDS)).alias("kind"), "start", "end")).alias("added")))
     every = F.concat("base", F.coalesce("added", F.array().cast(f"array<{SPAN}>")))
     return scanned.join(added, ["doc_id", "row"], "left").select("doc_id", "row", F.array_sort(every).alias("spans"))

@@ -56,6 +56,28 @@ def test_contexts_find_what_shapes_miss(spark):
     assert all(got[100 + i][0] == "" for i in range(30))
 
 
+def test_found_numbers_are_redacted_whole(spark):
+    shown = ["947 555-%04d", "(947) 555-%04d", "947 555 %04d,", "947.555 (%04d)"]
+    rows = [(i, f"my number is +1 947 555 {i:04d} thanks") for i in range(30)]
+    rows += [(100 + i, f"my number is {shown[i] % i} thanks") for i in range(4)]
+    rows += [(200, "my number is 947 5th street"), (201, "see 947, 20 times. 30 of x1 2 at 10.0.0.1 5")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = pii.find_personal_data(df).join(df, "doc_id").select("doc_id", pii.redact(F.col("text"), F.col("spans")).alias("text"))
+    got = {r.doc_id: r.text for r in found.collect()}
+    assert all(got[100 + i] == "my number is [PHONE] thanks" for i in range(4))
+    assert got[200] == "my number is [PHONE] 5th street"
+    seen = pii.scan(df.where("doc_id = 201")).select(F.transform("mentions", lambda m: m["value"]).alias("v")).collect()[0].v
+    assert seen == ["947,", "20", "30", "x1", "2", "10.0.0.1", "5"]
+
+
+def test_spaced_cards_are_values_of_their_own(spark):
+    cards = [c for c in (f"4111 1111 1111 {n}" for n in range(1100, 1200)) if passes("card", c)]
+    rows = [(i, f"pay with {c} now") for i, c in enumerate(cards)] + [(50, "pay with 4111 1111 1111 1112 now")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(df).select("doc_id", pii.written(F.col("spans")).alias("spans")).collect()}
+    assert got == {i: "card:9:28" for i in range(10)} | {50: "found_card:9:28"}
+
+
 def test_personal_data_of_edge_cases(edge_docs, no_docs):
     got = pii.find_personal_data(edge_docs)
     assert sorted((r.doc_id or 0, len(r.spans)) for r in got.collect()) == sorted((k or 0, 0) for k, _ in EDGE_TEXTS)
