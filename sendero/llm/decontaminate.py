@@ -1,8 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Numbers, names and units become typed placeholders, so an item and a copy with other values have one template. Windows
-of ``WINDOW`` template tokens are joined by hash. The windows of a document that lie on an item in one place are read
-together, and count as a match only if every value of the item's slots stands for one value in the document.
+of ``WINDOW`` template tokens are joined by hash. A window counts only if every value of the item's slots stands for
+one value in it. The windows of a document that lie on an item in one place are one match.
 """
 
 from __future__ import annotations
@@ -132,8 +132,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """``(doc_id, item_id, first_token, n_windows, n_changed)`` of every match of a document with a benchmark item.
 
     A match is an item laid on a document in one place so that at least one window of ``size`` template tokens agrees,
-    ``literal`` of them words, and the slots are consistent: each of the item's values became one value. ``n_changed``
-    counts values that differ. Items and texts of fewer tokens, null and empty ones match nothing; rows with null keys
+    ``literal`` of them words, and its slots are consistent: each of the item's values became one value in the window,
+    as in a verbatim one. Windows that are not do not count, and speak against no other. ``n_changed`` counts changes of
+    values. Items and texts of fewer tokens, null and empty ones match nothing; rows with null keys
     take no part; repeated rows count once. Other columns are not read. Without items or documents there are no rows.
 
     The items' window hashes go to the tasks if there are at most ``HELD_WINDOWS``; else all windows are joined.
@@ -148,11 +149,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     found = template_windows(docs.where(docs[key].isNotNull()), key, text, size, literal, held)
     laid = (found.join(items, "hash").withColumn("first_token", F.col("at") - F.col("item_at"))
             .select("item_id", F.col("key").alias("doc_id"), "first_token", "at",
-                    F.arrays_zip(F.col("item_slots").alias("of"), F.col("slots").alias("became")).alias("pairs")))
+                    F.array_distinct(F.arrays_zip(F.col("item_slots").alias("of"), F.col("slots").alias("became"))).alias("pairs"))
+            .where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["of"])))))
     together = (laid.groupBy("doc_id", "item_id", "first_token")
                 .agg(F.countDistinct("at").alias("n_windows"),
                      F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    values = F.array_distinct(F.transform("pairs", lambda p: p["of"]))
-    return together.where(F.size("pairs") == F.size(values)).select(
+    return together.select(
         "doc_id", "item_id", "first_token", "n_windows",
         F.size(F.filter("pairs", lambda p: p["of"] != p["became"])).cast("bigint").alias("n_changed"))

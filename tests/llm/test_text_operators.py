@@ -169,6 +169,16 @@ def test_slots_have_to_agree(spark):
     assert [(r.doc_id, r.n_changed) for r in decontaminate.contaminated(df, items).collect()] == [(1, 2)]
 
 
+def test_one_altered_value_spares_no_verbatim_windows(spark):
+    twice = "If Anna has 5 apples and gives away 2 of them, then Anna keeps the rest of the 5 apples."
+    odd = "If Anna has 5 apples and Anna gives 5 away"
+    docs = [(1, twice.replace("the 5", "the 6")), (2, odd.replace("and Anna", "and Bob"))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, twice), (2, odd)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_changed) for r in decontaminate.contaminated(df, items).collect()}
+    assert got.keys() == {(1, 1)} and got[1, 1] == (11, 1)
+
+
 def test_decontamination_query(spark, sf_dir, documents):
     items = [(r.item_id, " ".join(r.text.split())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     want = {(k, i) for k, t in documents for i, item in items if item in " ".join(t.split())}
