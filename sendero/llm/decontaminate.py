@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
-from sendero.llm.shingles import window_hashes, word_hashes
+from sendero.llm.shingles import STEP, mix, powers, word_hashes
 from sendero.session import materialize
 
 WINDOW = 10
@@ -24,6 +24,8 @@ LITERAL = 5
 #: Window hashes that tasks may hold; more are joined instead (8 bytes each).
 HELD_WINDOWS = 1_000_000
 MEMO_WORDS = 400_000
+#: Rows of windows, each in one reading, that are worked on at a time.
+READINGS = 1 << 20
 
 # Units, one word each.
 UNITS = frozenset(("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles g kg mg t lb lbs pound pounds oz ounce "
@@ -57,11 +59,12 @@ class Templates(dict):
         self.seen.append((low, kind, core[:1].isupper(), chunk[-1] in ".!?:;"))
         return number
 
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``(numbers, kinds, hashes, counts)`` of all texts' tokens in a row, and how many each text has.
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(numbers, kinds, hashes, either, counts)`` of all texts' tokens in a row, and how many each text has.
 
-        What has no letter or digit is no token. A capital makes a name unless it opens the text or follows the end of
-        a sentence. A unit is one only right after a number.
+        What has no letter or digit is no token. A capital makes a name; where it opens the text or follows the end of
+        a sentence, the token is read as a word that may be a name too (``either``). A unit is one only right after a
+        number.
         """
         parts = [np.fromiter(map(self.__getitem__, t.split()), np.int64) for t in texts]
         sizes = np.array([len(p) for p in parts], np.int64)
@@ -71,12 +74,13 @@ class Templates(dict):
         opens, after_number = np.roll(ends, 1), np.roll(kinds == NUMBER, 1)
         opens[first], after_number[first] = True, False
         kinds = np.where((kinds == UNIT) & ~after_number, WORD, kinds)
+        either = (kinds == WORD) & capital & opens
         kinds = np.where((kinds == WORD) & capital & ~opens, NAME, kinds)
         for kind, value in zip((NAME, NUMBER, UNIT), PLACEHOLDERS):
             hashes[kinds == kind] = value
         kept = kinds != NOTHING
         counts = np.bincount(np.repeat(np.arange(len(texts)), sizes)[kept], minlength=len(texts))
-        return at[kept], kinds[kept], hashes[kept], counts
+        return at[kept], kinds[kept], hashes[kept], either[kept], counts
 
     def _columns(self) -> list[np.ndarray]:
         """Kind, capital, end and hash of all stretches seen so far."""
@@ -93,36 +97,62 @@ class Templates(dict):
             self.__init__()
 
 
+def readings(tokens: np.ndarray, kinds: np.ndarray, either: np.ndarray, wanted: np.ndarray, size: int,
+             literal: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(starts, as_names, hashes)``: the ``wanted`` windows, read in each way that leaves ``literal`` words.
+
+    ``as_names`` has a bit for each place whose token, a word or a name, is read as a name. Comes in parts of about
+    ``READINGS`` rows, however many ways there are.
+    """
+    words, open_ = (np.concatenate([[0], np.cumsum(x)]) for x in (kinds == WORD, either))
+    starts = np.flatnonzero(wanted & (words[size:] - words[:len(wanted)] >= literal))
+    ways = np.left_shift(1, open_[starts + size] - open_[starts])
+    parts = np.flatnonzero(np.diff(np.cumsum(ways) // READINGS)) + 1
+    factors = powers(STEP, size)
+    for at in np.split(starts, parts):
+        sums = np.zeros(len(at), np.uint64)
+        for place, factor in enumerate(factors):
+            sums += tokens[at + place] * factor
+        left, as_names = words[at + size] - words[at] - literal, np.zeros(len(at), np.int64)
+        for place, factor in enumerate(factors):
+            more = np.flatnonzero(either[at + place] & (left > 0))
+            if len(more):
+                change = (PLACEHOLDERS[0] - tokens[at[more] + place]) * factor
+                at, sums = np.concatenate([at, at[more]]), np.concatenate([sums, sums[more] + change])
+                as_names = np.concatenate([as_names, as_names[more] | 1 << place])
+                left = np.concatenate([left, left[more] - 1])
+        yield at, as_names, mix(sums)
+
+
 def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: int,
                      held: np.ndarray | None = None) -> DataFrame:
     """``(hash, key, at, slots)``: a text's template windows; only those in the sorted ``held``, if given.
 
-    ``slots`` are the values of the window's placeholders, each with its kind before it. A text with fewer than
-    ``size`` tokens has none.
+    A word that may be a name gives a window either way. ``slots`` are the values of the window's placeholders, each
+    with its kind before it. A text with fewer than ``size`` tokens has none.
     """
     known = rows.sparkSession.sparkContext.broadcast(held) if held is not None else None
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
         for batch in by_bytes(batches, "_text"):
-            at, kinds, tokens, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
-            ends = np.cumsum(counts)
+            at, kinds, tokens, either, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
+            begins = np.cumsum(counts) - counts
             owner = np.repeat(np.arange(len(counts)), counts)
-            own = window_hashes(tokens, size)
-            words = np.concatenate([[0], np.cumsum(kinds == WORD)])
-            wanted = (owner[size - 1:] == owner[:len(own)]) & (words[size:] - words[:len(own)] >= literal)
-            if known is not None:
-                near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
-                wanted &= known.value[near] == own if len(known.value) else False
-            hits = np.flatnonzero(wanted)
-            hashes, keys = own[hits].view(np.int64), batch.column("_key").take(pa.array(owner[hits]))
-            places = hits - (ends - counts)[owner[hits]]
-            slots = [[f"{k}{reader.seen[t][0]}" for t, k in zip(at[i:i + size].tolist(), kinds[i:i + size].tolist()) if k != WORD]
-                     for i in hits.tolist()]
+            wanted = owner[size - 1:] == owner[:max(len(owner) - size + 1, 0)]
+            for starts, as_names, own in readings(tokens, kinds, either, wanted, size, literal):
+                if known is not None:
+                    near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
+                    hits = np.flatnonzero(known.value[near] == own) if len(known.value) else np.empty(0, np.int64)
+                    starts, as_names, own = starts[hits], as_names[hits], own[hits]
+                slots = [[f"{NAME if names >> n & 1 else k}{reader.seen[t][0]}" for n, (t, k) in enumerate(
+                          zip(at[i:i + size].tolist(), kinds[i:i + size].tolist())) if k != WORD or names >> n & 1]
+                         for i, names in zip(starts.tolist(), as_names.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own.view(np.int64), pa.int64()), batch.column("_key").take(pa.array(owner[starts])),
+                     pa.array(starts - begins[owner[starts]], pa.int64()), pa.array(slots, pa.list_(pa.string()))],
+                    ["hash", "key", "at", "slots"])
             reader.bound()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.int64()), keys, pa.array(places, pa.int64()),
-                 pa.array(slots, pa.list_(pa.string()))], ["hash", "key", "at", "slots"])
     keyed = rows.select(rows[key].cast("bigint").alias("_key"), rows[text].alias("_text"))
     return keyed.mapInArrow(emit, "hash bigint, key bigint, at bigint, slots array<string>")
 

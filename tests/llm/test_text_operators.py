@@ -179,6 +179,19 @@ def test_one_altered_value_spares_no_verbatim_windows(spark):
     assert got.keys() == {(1, 1)} and got[1, 1] == (11, 1)
 
 
+@pytest.mark.parametrize("readings", [decontaminate.READINGS, 4])
+def test_names_that_open_sentences_are_names(spark, monkeypatch, readings):
+    monkeypatch.setattr(decontaminate, "READINGS", readings)
+    short = "Tom has 3 apples. Tom buys 2 more. Tom eats 1 of them. Tom counts what is left."
+    ten = "Trains leave the old town at noon and then return"
+    docs = [(1, short.replace("Tom", "Eva")), (2, "Puzzles of the week\n" + ten), (3, "so she said: " + ten),
+            (4, short.replace("Tom buys", "Eva buys").replace("Tom counts", "Eva counts")), (5, "A. B. C. D. E. F. G. H. I. J. " * 200)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, short), (2, ten)], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_windows, r.n_changed) for r in decontaminate.contaminated(df, items).collect())
+    assert [g for g in got if g[0] != 4] == [(1, 1, 9, 1), (2, 2, 1, 0), (3, 2, 1, 0)]
+
+
 def test_decontamination_query(spark, sf_dir, documents):
     items = [(r.item_id, " ".join(r.text.split())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     want = {(k, i) for k, t in documents for i, item in items if item in " ".join(t.split())}
