@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
-from sendero.llm.shingles import STEP, mix, powers, word_hashes
+from sendero.llm.shingles import STEP, mix, powers, window_hashes, word_hashes
 from sendero.session import materialize
 
 WINDOW = 10
@@ -59,12 +60,12 @@ class Templates(dict):
         self.seen.append((low, kind, core[:1].isupper(), chunk[-1] in ".!?:;"))
         return number
 
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``(numbers, kinds, hashes, either, counts)`` of all texts' tokens in a row, and how many each text has.
+    def read(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """``(numbers, kinds, hashes, either, plain, counts)`` of all texts' tokens in a row, and how many each text has.
 
         What has no letter or digit is no token. A capital makes a name; where it opens the text or follows the end of
         a sentence, the token is read as a word that may be a name too (``either``). A unit is one only right after a
-        number.
+        number. ``plain`` are the hashes without placeholders.
         """
         parts = [np.fromiter(map(self.__getitem__, t.split()), np.int64) for t in texts]
         sizes = np.array([len(p) for p in parts], np.int64)
@@ -76,11 +77,12 @@ class Templates(dict):
         kinds = np.where((kinds == UNIT) & ~after_number, WORD, kinds)
         either = (kinds == WORD) & capital & opens
         kinds = np.where((kinds == WORD) & capital & ~opens, NAME, kinds)
+        plain = hashes.copy()
         for kind, value in zip((NAME, NUMBER, UNIT), PLACEHOLDERS):
             hashes[kinds == kind] = value
         kept = kinds != NOTHING
         counts = np.bincount(np.repeat(np.arange(len(texts)), sizes)[kept], minlength=len(texts))
-        return at[kept], kinds[kept], hashes[kept], either[kept], counts
+        return at[kept], kinds[kept], hashes[kept], either[kept], plain[kept], counts
 
     def _columns(self) -> list[np.ndarray]:
         """Kind, capital, end and hash of all stretches seen so far."""
@@ -124,37 +126,65 @@ def readings(tokens: np.ndarray, kinds: np.ndarray, either: np.ndarray, wanted:
         yield at, as_names, mix(sums)
 
 
-def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: int,
-                     held: np.ndarray | None = None) -> DataFrame:
-    """``(hash, key, at, slots)``: a text's template windows; only those in the sorted ``held``, if given.
+def exact_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
+    """A hash per start of ``size`` tokens as they are, other than any of a template or of another size."""
+    return mix(window_hashes(tokens, size) + np.uint64(size))
+
+
+def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: int, held: np.ndarray | None = None,
+                     exact: list[int] | None = None) -> DataFrame:
+    """``(hash, key, at, slots, exact)``: a text's template windows; only those in the sorted ``held``, if given.
 
     A word that may be a name gives a window either way. ``slots`` are the values of the window's placeholders, each
-    with its kind before it. A text with fewer than ``size`` tokens has none.
+    with its kind before it; ``exact`` is 0.
+
+    After them come windows of tokens as they are, without slots and with ``exact`` as their size: those of all sizes in
+    ``exact`` or, if that is None, what has no template window: a window in which fewer than ``literal`` words are left
+    when names are taken out, and the whole of a text with fewer than ``size`` tokens.
     """
     known = rows.sparkSession.sparkContext.broadcast(held) if held is not None else None
 
+    def whole(n: int, owner: np.ndarray) -> np.ndarray:
+        """Whether the window of ``n`` tokens from each start lies in one text."""
+        return owner[n - 1:] == owner[:max(len(owner) - n + 1, 0)]
+
+    def exactly(plain: np.ndarray, kinds: np.ndarray, either: np.ndarray, owner: np.ndarray, begins: np.ndarray,
+                counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        words = np.concatenate([[0], np.cumsum((kinds == WORD) & ~either)])
+        for n in range(1, size + 1) if exact is None else exact:
+            wanted = whole(n, owner)
+            if exact is None and n < size:
+                starts = begins[counts == n]
+            elif exact is None:
+                starts = np.flatnonzero(wanted & (words[n:] - words[:len(wanted)] < literal))
+            else:
+                starts = np.flatnonzero(wanted)
+            yield n, starts, np.zeros(len(starts), np.int64), exact_hashes(plain, n)[starts]
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
         for batch in by_bytes(batches, "_text"):
-            at, kinds, tokens, either, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
+            at, kinds, tokens, either, plain, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
             begins = np.cumsum(counts) - counts
             owner = np.repeat(np.arange(len(counts)), counts)
-            wanted = owner[size - 1:] == owner[:max(len(owner) - size + 1, 0)]
-            for starts, as_names, own in readings(tokens, kinds, either, wanted, size, literal):
+            wanted = whole(size, owner)
+            for n, starts, as_names, own in chain(
+                    ((0, *found) for found in readings(tokens, kinds, either, wanted, size, literal)),
+                    exactly(plain, kinds, either, owner, begins, counts)):
                 if known is not None:
                     near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
                     hits = np.flatnonzero(known.value[near] == own) if len(known.value) else np.empty(0, np.int64)
                     starts, as_names, own = starts[hits], as_names[hits], own[hits]
-                slots = [[f"{NAME if names >> n & 1 else k}{reader.seen[t][0]}" for n, (t, k) in enumerate(
-                          zip(at[i:i + size].tolist(), kinds[i:i + size].tolist())) if k != WORD or names >> n & 1]
+                slots = [[] if n else [f"{NAME if names >> m & 1 else k}{reader.seen[t][0]}" for m, (t, k) in enumerate(
+                          zip(at[i:i + size].tolist(), kinds[i:i + size].tolist())) if k != WORD or names >> m & 1]
                          for i, names in zip(starts.tolist(), as_names.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own.view(np.int64), pa.int64()), batch.column("_key").take(pa.array(owner[starts])),
-                     pa.array(starts - begins[owner[starts]], pa.int64()), pa.array(slots, pa.list_(pa.string()))],
-                    ["hash", "key", "at", "slots"])
+                     pa.array(starts - begins[owner[starts]], pa.int64()), pa.array(slots, pa.list_(pa.string())),
+                     pa.array(np.full(len(starts), n), pa.int64())], ["hash", "key", "at", "slots", "exact"])
             reader.bound()
     keyed = rows.select(rows[key].cast("bigint").alias("_key"), rows[text].alias("_text"))
-    return keyed.mapInArrow(emit, "hash bigint, key bigint, at bigint, slots array<string>")
+    return keyed.mapInArrow(emit, "hash bigint, key bigint, at bigint, slots array<string>, exact bigint")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -164,20 +194,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     A match is an item laid on a document in one place so that at least one window of ``size`` template tokens agrees,
     ``literal`` of them words, and its slots are consistent: each of the item's values became one value in the window,
     as in a verbatim one. Windows that are not do not count, and speak against no other. ``n_changed`` counts changes of
-    values. Items and texts of fewer tokens, null and empty ones match nothing; rows with null keys
-    take no part; repeated rows count once. Other columns are not read. Without items or documents there are no rows.
+    values. An item of fewer tokens is one window, and has to be there as it is, as has a window with fewer words.
+    Null and empty items and texts match nothing; rows with null keys take no part; repeated rows count once. Other columns are not read. Without items or documents there are no rows.
 
     The items' window hashes go to the tasks if there are at most ``HELD_WINDOWS``; else all windows are joined.
     """
     items = materialize(template_windows(benchmark.where(benchmark[item].isNotNull()), item, item_text, size, literal)
                         .select("hash", F.col("key").alias("item_id"), F.col("at").alias("item_at"),
-                                F.col("slots").alias("item_slots")).distinct())
+                                F.col("slots").alias("item_slots"), "exact").distinct())
+    exact = sorted(r["exact"] for r in items.where("exact > 0").select("exact").distinct().collect())
     hashes = items.select("hash").distinct()
     held = None
     if hashes.count() <= HELD_WINDOWS:
         held = np.sort(np.array([r["hash"] for r in hashes.collect()], np.int64).view(np.uint64))
-    found = template_windows(docs.where(docs[key].isNotNull()), key, text, size, literal, held)
-    laid = (found.join(items, "hash").withColumn("first_token", F.col("at") - F.col("item_at"))
+    found = template_windows(docs.where(docs[key].isNotNull()), key, text, size, literal, held, exact)
+    laid = (found.drop("exact").join(items, "hash").withColumn("first_token", F.col("at") - F.col("item_at"))
             .select("item_id", F.col("key").alias("doc_id"), "first_token", "at",
                     F.array_distinct(F.arrays_zip(F.col("item_slots").alias("of"), F.col("slots").alias("became"))).alias("pairs"))
             .where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["of"])))))

@@ -192,6 +192,19 @@ def test_names_that_open_sentences_are_names(spark, monkeypatch, readings):
     assert [g for g in got if g[0] != 4] == [(1, 1, 9, 1), (2, 2, 1, 0), (3, 2, 1, 0)]
 
 
+@pytest.mark.parametrize("held", [decontaminate.HELD_WINDOWS, 0])
+def test_short_and_wordless_items_are_found_as_they_are(spark, monkeypatch, held):
+    monkeypatch.setattr(decontaminate, "HELD_WINDOWS", held)
+    short, sums, names = "What is 17 times 23?", "3 + 4 = 7 8 - 5 = 3 6 * 2 12 9", "Ada Bo Cy Dee Eli Flo Gus Hal Ivy Jo Kim"
+    docs = [(1, "Here: what is 17 times 23? Well."), (2, "What is 17 times 24?"), (3, "so 3 + 4 = 7 8 - 5 = 3 6 * 2 12 9 it is"),
+            (4, "so 3 + 4 = 7 8 - 5 = 3 6 * 2 13 8 it is"), (5, f"They are {names}."), (6, f"They are {names}.".replace("Eli", "Eve")),
+            (7, "What is 17"), (8, "times 23?"), (9, "23"), (10, None), (11, "")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    items = spark.createDataFrame([(1, short), (2, sums), (3, names), (4, ""), (5, None), (6, "+ =")], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_token, r.n_changed) for r in decontaminate.contaminated(df, items).collect())
+    assert got == [(1, 1, 1, 0), (3, 2, 1, 0), (5, 3, 2, 0)]
+
+
 def test_decontamination_query(spark, sf_dir, documents):
     items = [(r.item_id, " ".join(r.text.split())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     want = {(k, i) for k, t in documents for i, item in items if item in " ".join(t.split())}
