@@ -1,7 +1,7 @@
 """The corpus pipeline: toxicity, near duplicates, benchmark passages, personal data, token ids.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. All but the last return the
-columns of ``docs``. Rows with a null key are kept by the filters, which have nothing to say about them.
+columns of ``docs``. A row with a null key is judged and redacted by its own text; it is no near duplicate of anything.
 """
 
 from __future__ import annotations
@@ -19,11 +19,17 @@ from sendero.plans.registry import query, table
 from sendero.session import table_path
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key that is never null, ``_unit``: for a null key a hash of the text."""
+    return docs.withColumn("_unit", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce("text", F.lit("")))))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out the documents whose score reaches ``REJECTED``; the model is fitted on the labelled rows of ``docs``."""
-    scores = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
-    rejected = scores.where(F.col("score") >= REJECTED).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    scores = score_toxicity(rows, train(docs, table(spark, sf_dir, "labels")), "_unit")
+    rejected = scores.where(F.col("score") >= REJECTED).select("_unit").distinct()
+    return rows.join(rejected, "_unit", "left_anti").select(docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,19 +41,20 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out the documents that hold a passage of the benchmark, re-parameterised ones too."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    found = contaminated(rows, table(spark, sf_dir, "benchmark"), "_unit").select(F.col("doc_id").alias("_unit")).distinct()
+    return rows.join(found, "_unit", "left_anti").select(docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind in brackets. A changed text's ``n_chars`` is counted anew."""
-    found = (find_personal_data(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "row"])
-             .withColumnRenamed("row", "_row"))
-    rows = docs.withColumn("_row", F.xxhash64(F.coalesce("text", F.lit("")))).join(found, ["doc_id", "_row"], "left")
-    changed = rows.withColumn("text", F.when(F.col("spans").isNotNull(), redact(F.col("text"), F.col("spans")))
+    found = (find_personal_data(keyed(docs), "_unit").where(F.size("spans") > 0).dropDuplicates(["doc_id", "row"])
+             .select(F.col("doc_id").alias("_unit"), F.col("row").alias("_row"), F.col("spans").alias("_spans")))
+    rows = keyed(docs).withColumn("_row", F.xxhash64(F.coalesce("text", F.lit("")))).join(found, ["_unit", "_row"], "left")
+    changed = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), redact(F.col("text"), F.col("_spans")))
                               .otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast("bigint"))
+        changed = changed.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("bigint"))
                                      .otherwise(F.col("n_chars")))
     return changed.select(docs.columns)
 

@@ -115,3 +115,16 @@ def test_stages_of_odd_tables(spark, sf_dir, edge_docs, no_docs):
         assert stage(spark, docs.where("doc_id < -5"), sf_dir).count() == 0
         docs = stage(spark, docs, sf_dir)
     assert sorted(r.doc_id or 0 for r in docs.select("doc_id").collect()) == [0, 1, 1, 2, 3, 4, 6, 7, 8, 9, 10]
+
+
+def test_rows_without_a_key(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "train", lambda docs, labels: ({"glorb": 4.0}, [-2.0, 1.0, 3.0]))
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    texts = ["write to ann@example.com or 4111 1111 1111 1111.", "you glorb, you glorb.", f"Read this: {item}", None, "plain words"]
+    docs = spark.createDataFrame([(None, t, len(t or "")) for t in texts] + [(7, texts[0], 0), (42, "the answer", 0)],
+                                 "doc_id bigint, text string, n_chars bigint")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+    redacted = "write to [EMAIL] or [CARD]."
+    assert sorted((tuple(r) for r in docs.collect()), key=str) == sorted(
+        [(None, redacted, len(redacted)), (None, None, 0), (None, "plain words", 11), (7, redacted, len(redacted)), (42, "the answer", 0)], key=str)
