@@ -26,7 +26,7 @@ LITERAL = 5
 HELD_WINDOWS = 1_000_000
 MEMO_WORDS = 400_000
 #: Rows of windows, each in one reading, that are worked on at a time.
-READINGS = 1 << 20
+READINGS = 1 << 16
 
 # Units, one word each.
 UNITS = frozenset(("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles g kg mg t lb lbs pound pounds oz ounce "
@@ -110,29 +110,46 @@ def readings(tokens: np.ndarray, kinds: np.ndarray, either: np.ndarray, wanted:
     starts = np.flatnonzero(wanted & (words[size:] - words[:len(wanted)] >= literal))
     ways = np.left_shift(1, open_[starts + size] - open_[starts])
     parts = np.flatnonzero(np.diff(np.cumsum(ways) // READINGS)) + 1
-    factors = powers(STEP, size)
+    places, factors = np.flatnonzero(either), powers(STEP, size)
+    as_words = np.zeros(len(wanted), np.uint64)
+    for place, factor in enumerate(factors):
+        as_words += tokens[place:place + len(wanted)] * factor
     for at in np.split(starts, parts):
-        sums = np.zeros(len(at), np.uint64)
-        for place, factor in enumerate(factors):
-            sums += tokens[at + place] * factor
-        left, as_names = words[at + size] - words[at] - literal, np.zeros(len(at), np.int64)
-        for place, factor in enumerate(factors):
-            more = np.flatnonzero(either[at + place] & (left > 0))
-            if len(more):
-                change = (PLACEHOLDERS[0] - tokens[at[more] + place]) * factor
-                at, sums = np.concatenate([at, at[more]]), np.concatenate([sums, sums[more] + change])
-                as_names = np.concatenate([as_names, as_names[more] | 1 << place])
-                left = np.concatenate([left, left[more] - 1])
+        sums, as_names = as_words[at], np.zeros(len(at), np.int64)
+        left, first = words[at + size] - words[at] - literal, open_[at]
+        last, nth = open_[at + size], 0
+        while len(more := np.flatnonzero((last - first > nth) & (left > 0))):
+            token = places[first[more] + nth]
+            place = token - at[more]
+            sums = np.concatenate([sums, sums[more] + (PLACEHOLDERS[0] - tokens[token]) * factors[place]])
+            as_names = np.concatenate([as_names, as_names[more] | np.left_shift(1, place)])
+            left = np.concatenate([left, left[more] - 1])
+            at, first, last = (np.concatenate([x, x[more]]) for x in (at, first, last))
+            nth += 1
         yield at, as_names, mix(sums)
 
 
+def marks(held: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """A table in which a hash's highest bits are true for all of ``held``, and the shift that leaves them."""
+    bits = max(16, len(held).bit_length() + 4)
+    table = np.zeros(1 << bits, bool)
+    table[held >> np.uint64(64 - bits)] = True
+    return table, np.uint64(64 - bits)
+
+
+def pairs_of(tokens: np.ndarray, either: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the pairs of neighbours, an array for each way to read the two."""
+    named = np.where(either, PLACEHOLDERS[0], tokens)
+    return [mix(a[:-1] + b[1:] * STEP) for a in (tokens, named) for b in (tokens, named)]
+
+
 def exact_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     """A hash per start of ``size`` tokens as they are, other than any of a template or of another size."""
     return mix(window_hashes(tokens, size) + np.uint64(size))
 
 
 def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: int, held: np.ndarray | None = None,
-                     exact: list[int] | None = None) -> DataFrame:
+                     exact: list[int] | None = None, pairs: np.ndarray | None = None) -> DataFrame:
     """``(hash, key, at, slots, exact)``: a text's template windows; only those in the sorted ``held``, if given.
 
     A word that may be a name gives a window either way. ``slots`` are the values of the window's placeholders, each
@@ -140,9 +157,11 @@ def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: i
 
     After them come windows of tokens as they are, without slots and with ``exact`` as their size: those of all sizes in
     ``exact`` or, if that is None, what has no template window: a window in which fewer than ``literal`` words are left
-    when names are taken out, and the whole of a text with fewer than ``size`` tokens.
+    when names are taken out, and the whole of a text with fewer than ``size`` tokens. If it is None, pairs of
+    neighbours come too, with -1 as ``exact``; given as ``pairs``, they tell which windows cannot be in ``held``.
     """
     known = rows.sparkSession.sparkContext.broadcast(held) if held is not None else None
+    paired = rows.sparkSession.sparkContext.broadcast(pairs) if pairs is not None else None
 
     def whole(n: int, owner: np.ndarray) -> np.ndarray:
         """Whether the window of ``n`` tokens from each start lies in one text."""
@@ -163,18 +182,33 @@ def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: i
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
+        table, shift = marks(known.value) if known is not None else (None, None)
+        pair_table, pair_shift = marks(paired.value) if paired is not None else (None, None)
         for batch in by_bytes(batches, "_text"):
             at, kinds, tokens, either, plain, counts = reader.read([t or "" for t in batch.column("_text").to_pylist()])
             begins = np.cumsum(counts) - counts
             owner = np.repeat(np.arange(len(counts)), counts)
             wanted = whole(size, owner)
+            if paired is not None and len(wanted):
+                strange = ~np.logical_or.reduce([pair_table[p >> pair_shift] for p in pairs_of(tokens, either)])
+                before = np.concatenate([[0], np.cumsum(strange)])
+                wanted &= before[size - 1:] == before[:len(wanted)]
+            if exact is None and len(tokens):
+                found = np.unique(np.concatenate(pairs_of(tokens, either)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64), pa.int64()), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()),
+                     pa.nulls(len(found), pa.list_(pa.string())), pa.array(np.full(len(found), -1), pa.int64())],
+                    ["hash", "key", "at", "slots", "exact"])
             for n, starts, as_names, own in chain(
                     ((0, *found) for found in readings(tokens, kinds, either, wanted, size, literal)),
                     exactly(plain, kinds, either, owner, begins, counts)):
                 if known is not None:
-                    near = np.minimum(np.searchsorted(known.value, own), max(len(known.value) - 1, 0))
-                    hits = np.flatnonzero(known.value[near] == own) if len(known.value) else np.empty(0, np.int64)
+                    hits = np.flatnonzero(table[own >> shift])
+                    near = np.minimum(np.searchsorted(known.value, own[hits]), max(len(known.value) - 1, 0))
+                    hits = hits[known.value[near] == own[hits]] if len(known.value) else hits[:0]
                     starts, as_names, own = starts[hits], as_names[hits], own[hits]
+                if not len(starts):
+                    continue
                 slots = [[] if n else [f"{NAME if names >> m & 1 else k}{reader.seen[t][0]}" for m, (t, k) in enumerate(
                           zip(at[i:i + size].tolist(), kinds[i:i + size].tolist())) if k != WORD or names >> m & 1]
                          for i, names in zip(starts.tolist(), as_names.tolist())]
@@ -199,15 +233,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
     The items' window hashes go to the tasks if there are at most ``HELD_WINDOWS``; else all windows are joined.
     """
-    items = materialize(template_windows(benchmark.where(benchmark[item].isNotNull()), item, item_text, size, literal)
+    every = materialize(template_windows(benchmark.where(benchmark[item].isNotNull()), item, item_text, size, literal)
                         .select("hash", F.col("key").alias("item_id"), F.col("at").alias("item_at"),
                                 F.col("slots").alias("item_slots"), "exact").distinct())
+    items, neighbours = every.where("exact >= 0"), every.where("exact < 0").select("hash").distinct()
     exact = sorted(r["exact"] for r in items.where("exact > 0").select("exact").distinct().collect())
     hashes = items.select("hash").distinct()
-    held = None
-    if hashes.count() <= HELD_WINDOWS:
-        held = np.sort(np.array([r["hash"] for r in hashes.collect()], np.int64).view(np.uint64))
-    found = template_windows(docs.where(docs[key].isNotNull()), key, text, size, literal, held, exact)
+    held, pairs = (np.sort(np.array([r["hash"] for r in few.collect()], np.int64).view(np.uint64))
+                   if few.count() <= HELD_WINDOWS else None for few in (hashes, neighbours))
+    found = template_windows(docs.where(docs[key].isNotNull()), key, text, size, literal, held, exact, pairs)
     laid = (found.drop("exact").join(items, "hash").withColumn("first_token", F.col("at") - F.col("item_at"))
             .select("item_id", F.col("key").alias("doc_id"), "first_token", "at",
                     F.array_distinct(F.arrays_zip(F.col("item_slots").alias("of"), F.col("slots").alias("became"))).alias("pairs"))
