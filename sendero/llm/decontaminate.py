@@ -111,11 +111,10 @@ def readings(tokens: np.ndarray, kinds: np.ndarray, either: np.ndarray, wanted:
     ways = np.left_shift(1, open_[starts + size] - open_[starts])
     parts = np.flatnonzero(np.diff(np.cumsum(ways) // READINGS)) + 1
     places, factors = np.flatnonzero(either), powers(STEP, size)
-    as_words = np.zeros(len(wanted), np.uint64)
-    for place, factor in enumerate(factors):
-        as_words += tokens[place:place + len(wanted)] * factor
     for at in np.split(starts, parts):
-        sums, as_names = as_words[at], np.zeros(len(at), np.int64)
+        sums, as_names = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+        for place, factor in enumerate(factors):
+            sums += tokens[at + place] * factor
         left, first = words[at + size] - words[at] - literal, open_[at]
         last, nth = open_[at + size], 0
         while len(more := np.flatnonzero((last - first > nth) & (left > 0))):
@@ -143,6 +142,15 @@ def pairs_of(tokens: np.ndarray, either: np.ndarray) -> list[np.ndarray]:
     return [mix(a[:-1] + b[1:] * STEP) for a in (tokens, named) for b in (tokens, named)]
 
 
+def strangers(tokens: np.ndarray, either: np.ndarray, table: np.ndarray, shift: np.uint64) -> np.ndarray:
+    """Whether no way to read a pair of neighbours is in the table of ``marks``."""
+    out = ~table[mix(tokens[:-1] + tokens[1:] * STEP) >> shift]
+    first = np.flatnonzero(out & (either[:-1] | either[1:]))
+    a, b = ((tokens[i], np.where(either[i], PLACEHOLDERS[0], tokens[i])) for i in (first, first + 1))
+    out[first] = ~np.logical_or.reduce([table[mix(x + y * STEP) >> shift] for x in a for y in b])
+    return out
+
+
 def exact_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     """A hash per start of ``size`` tokens as they are, other than any of a template or of another size."""
     return mix(window_hashes(tokens, size) + np.uint64(size))
@@ -190,8 +198,7 @@ def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: i
             owner = np.repeat(np.arange(len(counts)), counts)
             wanted = whole(size, owner)
             if paired is not None and len(wanted):
-                strange = ~np.logical_or.reduce([pair_table[p >> pair_shift] for p in pairs_of(tokens, either)])
-                before = np.concatenate([[0], np.cumsum(strange)])
+                before = np.concatenate([[0], np.cumsum(strangers(tokens, either, pair_table, pair_shift))])
                 wanted &= before[size - 1:] == before[:len(wanted)]
             if exact is None and len(tokens):
                 found = np.unique(np.concatenate(pairs_of(tokens, either)))
