@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from sendero.llm.chat import format_conversations, loss_spans, texts_under, turns_in
 from sendero.llm.decontaminate import contaminated
+from sendero.llm.manifest import manifest
 from sendero.llm.near_dups import near_duplicates
 from sendero.llm.passages import remove_repeats
 from sendero.llm.pii import KINDS, find_personal_data, written
 from sendero.llm.rans import store_and_read
+from sendero.llm import secrets
+from sendero.llm.sql import MANIFEST, SECRETS
 from sendero.llm.token_counts import count_tokens
 from sendero.llm.toxicity import fold, score_toxicity, train
 from sendero.llm.transducer import round_trip
 from sendero.llm.vectors import nearest
+from sendero.llm.whitening import whiten
 from sendero.plans.registry import query, table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -96,3 +100,25 @@ def op10_chat_format(spark, sf_dir):
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query(SECRETS)
+def op11_secret_owners(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    some = lambda holds: secrets.written(F.filter("spans", holds))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS)],
+        F.sha2(some(lambda s: s["kind"] < secrets.FOUND), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"),
+        some(lambda s: s["state"] == "live").alias("live"), some(lambda s: s["state"] == "copied").alias("copied"))
+
+
+@query(MANIFEST)
+def op12_bitmap_manifest(spark, sf_dir):
+    altered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return manifest(table(spark, sf_dir, "documents"), altered_keys=altered)
+
+
+@query()
+def op13_jacobi_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=4).drop("deviation_exact")
