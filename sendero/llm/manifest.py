@@ -30,7 +30,7 @@ BLOCK = ARITY**LEVELS
 #: Rows of one cell that a task ranks together; a cell with more, whose keys repeat, is ranked in slices.
 CELL_ROWS = 500_000
 #: Cells are ranked by buckets of about so many rows.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 32_768
 #: Keys that a task holds before it packs them.
 HELD_KEYS = 1_000_000
 #: Arrays that a task opens at a time.
