@@ -10,11 +10,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sendero.operators.colouring import colour, digest
 from sendero.operators.skew import MIN_HOT_ROWS, hot_keys, lookup_join, repeat_rows, slice_rows
 from sendero.session import materialize, materialize_by
 
 WEIGHTINGS = ("overlap", "normalized", "min_norm", "unit")
+MODES = ("sweep", "semi", "sync")
 FRACTIONAL = ("normalized", "min_norm")
+#: Colours that are swept one by one; those from the last one on are swept together.
+MAX_CLASSES = 16
 
 
 def undirected_edges(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -98,15 +102,10 @@ def _exact(weighting: str) -> Column:
     return F.col("w").cast("decimal(20,12)" if weighting in FRACTIONAL else "bigint").alias("w")
 
 
-def _digest(*parts: str | Column) -> Column:
-    """MD5 of the parts as texts, a colon between: the same in any engine."""
-    return F.md5(F.concat_ws(":", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]))
-
-
 def _tie_order(tie: str, seed: int, step: int) -> list[Column]:
     if tie == "min":
         return [F.col("label")]
-    return [_digest(F.lit(str(seed)), F.lit(str(step)), "v", "label"), F.col("label")]
+    return [digest(F.lit(str(seed)), F.lit(str(step)), "v", "label"), F.col("label")]
 
 
 def pick_labels(arcs: DataFrame, labels: DataFrame, hot: DataFrame, tie: str = "min",
@@ -129,24 +128,29 @@ def layout(arcs: DataFrame, hot: DataFrame, rows: int | None = None) -> DataFram
 
 
 def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "min", seed: int = 42,
-              stop: str | None = "count", min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+              stop: str | None = "count", min_hot_rows: int = MIN_HOT_ROWS, classes: DataFrame | None = None) -> DataFrame:
     """Label propagation over weighted ``arcs`` ``(src, dst, w)`` with exact ``w``.
 
-    Vertices are split into ``buckets`` by a seeded hash; a round updates one bucket after the other, each
-    seeing the labels the earlier ones just took. One bucket is the synchronous form. ``stop``: "count"
-    ends when a round leaves the number of labels unchanged, "labels" when it changes no label, None never.
+    Vertices are split into ``buckets`` by a seeded hash, or as ``classes (v, bucket)`` says, numbered from 0 and fewer
+    than ``buckets``; a round updates one bucket after the other, each seeing the labels the earlier ones just took. One
+    bucket is the synchronous form. ``stop``: "count" ends when a round leaves the number of labels unchanged, "labels"
+    when it changes no label, None never. With ``classes`` given, ``arcs`` should be materialized.
     """
-    arcs = materialize(arcs)
+    arcs = materialize(arcs) if classes is None else arcs
     sources = materialize(arcs.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("n")))
     hot = hot_keys(sources, "v", min_rows=min_hot_rows)
-
-    def bucket(name: str) -> Column:
-        return F.conv(F.substring(_digest(F.lit(str(seed)), name), 1, 8), 16, 10).cast("bigint") % buckets
-
-    sizes = {r.bucket: r.n for r in arcs.groupBy(bucket("dst").alias("bucket")).agg(F.count("*").alias("n")).collect()}
-    laid = [layout(arcs.where(bucket("dst") == b), hot, sizes.get(b, 0)) for b in range(buckets)]
-    start = sources.select("v", F.col("v").alias("label"))
-    labels = [start.where(bucket("v") == b) for b in range(buckets)]
+    if classes is None:
+        number = F.conv(F.substring(digest(F.lit(str(seed)), "v"), 1, 8), 16, 10).cast("bigint") % buckets
+        classes = sources.select("v", number.alias("bucket"))
+    classes = materialize(classes)
+    if buckets > 1:
+        dealt = materialize(lookup_join(arcs, classes.withColumnRenamed("v", "dst"), "dst", "src", hot))
+    else:
+        dealt = arcs.withColumn("bucket", F.lit(0))
+
+    sizes = {r.bucket: r.n for r in dealt.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    laid = [layout(dealt.where(F.col("bucket") == b), hot, sizes.get(b, 0)) for b in range(buckets)]
+    labels = [materialize(classes.where(F.col("bucket") == b).select("v", F.col("v").alias("label"))) for b in range(buckets)]
 
     def everywhere() -> DataFrame:
         return reduce(DataFrame.unionByName, labels)
@@ -172,19 +176,36 @@ def propagate(arcs: DataFrame, rounds: int = 30, buckets: int = 1, tie: str = "m
     return everywhere()
 
 
+def sweep(arcs: DataFrame, rounds: int = 30, seed: int = 42, tie: str = "hash", stop: str | None = "count",
+          min_hot_rows: int = MIN_HOT_ROWS, max_classes: int = MAX_CLASSES) -> DataFrame:
+    """Label propagation in which every vertex sees the labels that its neighbours have already taken in this round.
+
+    The graph is coloured, and a round updates one colour after the other. No two vertices of a colour are neighbours, so
+    this equals updating one vertex at a time in the order of (colour, v). Of a graph that needs more than ``max_classes`` colours, the
+    colours from ``max_classes - 1`` on are updated together, each vertex seeing its neighbours' last labels there.
+    """
+    arcs = materialize(arcs)
+    coloured = colour(arcs, seed, min_hot_rows).select("v", F.least("colour", F.lit(max_classes - 1)).alias("bucket"))
+    used = coloured.agg(F.max("bucket")).first()[0]
+    return propagate(arcs, rounds, 1 if used is None else used + 1, tie, seed, stop, min_hot_rows, coloured)
+
+
 def label_propagation(edges: DataFrame, weighting: str = "overlap", rounds: int = 30, seed: int = 42,
-                      mode: str = "semi", tie: str | None = None, stop: str | None = "count",
+                      mode: str = "sweep", tie: str | None = None, stop: str | None = "count",
                       min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Communities ``(v, label)`` of a simple graph, weighted by neighbourhood overlap.
 
-    mode "semi" updates four vertex buckets in turn, with seeded ties; "sync" updates all vertices from
-    the labels of the last round, the smallest label winning ties.
+    mode "sweep" updates one colour of vertices after the other, so that each sees all labels taken before; "semi" updates
+    four hashed vertex buckets in turn; both draw ties by a seeded digest. "sync" updates all vertices from the labels of
+    the last round, the smallest label winning ties.
     """
-    if mode not in ("semi", "sync"):
-        raise ValueError(f"mode must be 'semi' or 'sync', not {mode!r}")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     weights = edge_weights(edges, weighting, min_hot_rows).select("src", "dst", _exact(weighting))
-    return propagate(symmetrize(weights), rounds, 4 if mode == "semi" else 1,
-                     tie or ("hash" if mode == "semi" else "min"), seed, stop, min_hot_rows)
+    tie = tie or ("min" if mode == "sync" else "hash")
+    if mode == "sweep":
+        return sweep(symmetrize(weights), rounds, seed, tie, stop, min_hot_rows)
+    return propagate(symmetrize(weights), rounds, 4 if mode == "semi" else 1, tie, seed, stop, min_hot_rows)
 
 
 def multigraph_arcs(links: DataFrame) -> DataFrame:

@@ -47,6 +47,33 @@ BUCKETED = M + """, l AS (SELECT 0 AS i, src AS v, src AS label FROM (SELECT DIS
             WHERE i < 6 AND ('0x' || substr(md5('42:' || v), 1, 8))::BIGINT % 3 <> i % 3) WHERE k = 1)
     SELECT v, label FROM l WHERE i = 6"""
 
+# p: vertices by falling (degree, digest, number), k: colours so far, q: classes of those done, z: overlap votes, l: labels after i sweeps.
+SWEPT = C + """, p AS (SELECT v, row_number() OVER (ORDER BY deg DESC, md5('42:' || v) DESC, v DESC) AS pos FROM d),
+    k AS (SELECT 0 AS i, v, pos, NULL::BIGINT AS colour FROM p UNION ALL
+        SELECT i + 1 AS i, v, pos, CASE WHEN colour IS NOT NULL OR pos = first THEN coalesce(colour, tried) END AS colour FROM (
+            SELECT a.i, a.v, a.pos, a.colour, a.tried, min(CASE WHEN b.tried = a.tried THEN b.pos ELSE a.pos END) AS first FROM ({tries}) AS a
+            JOIN (SELECT src, dst FROM u UNION ALL SELECT v, v FROM p) AS u2 ON u2.src = a.v JOIN ({tries}) AS b ON b.v = u2.dst
+            GROUP BY ALL) WHERE i < 1000 AND EXISTS (SELECT 1 FROM k AS k2 WHERE k2.colour IS NULL)),
+    q AS (SELECT v, least(colour, 15) AS class, max(least(colour, 15)) OVER () + 1 AS classes FROM k WHERE i = (SELECT max(i) FROM k)),
+    z AS (SELECT src, dst, c::BIGINT AS w FROM c UNION ALL SELECT dst, src, c::BIGINT FROM c WHERE src <> dst),
+    l AS (SELECT 0::BIGINT AS i, v, v AS label, -1::BIGINT AS n FROM q UNION ALL
+        SELECT i + 1 AS i, v, label, n FROM (
+            SELECT l.i, q.v, l.label, m.n, row_number() OVER (PARTITION BY q.v ORDER BY sum(z.w) DESC,
+                       md5('42:' || (l.i // q.classes + 1) || ':' || q.v || ':' || l.label), l.label) AS k
+            FROM l JOIN z ON l.v = z.src JOIN q ON q.v = z.dst AND q.class = l.i % q.classes, ({counts}) AS m
+            WHERE {going} GROUP BY l.i, q.v, q.classes, l.label, m.n
+            UNION ALL SELECT l.i, l.v, l.label, m.n, 1 FROM l JOIN q ON q.v = l.v AND q.class <> l.i % q.classes, ({counts}) AS m
+            WHERE {going}) WHERE k = 1)
+    SELECT v, label FROM l WHERE i = (SELECT max(i) FROM l)""".format(
+        # The smallest colour that no coloured neighbour has; what is coloured tries none.
+        tries="""SELECT i, v, pos, colour, CASE WHEN colour IS NULL THEN list_min(list_filter(range(len(taken) + 1), lambda x: NOT list_contains(taken, x))) END AS tried
+                 FROM (SELECT k.i, k.v, k.pos, k.colour, coalesce(list(DISTINCT o.colour) FILTER (o.colour IS NOT NULL), []) AS taken
+                       FROM k LEFT JOIN u ON u.src = k.v LEFT JOIN k AS o ON o.v = u.dst GROUP BY ALL)""",
+        # At the start of a round the number of labels, in between what it was there.
+        counts="""SELECT CASE WHEN min(l.i) % (SELECT min(classes) FROM q) = 0 THEN count(DISTINCT l.label) ELSE min(l.n) END AS n FROM l""",
+        # A round begins unless the one before left the number of labels as it was.
+        going="l.i < 30 * q.classes AND (l.i % q.classes <> 0 OR l.n <> m.n)")
+
 RANKED = T + """, w AS (SELECT src, dst, count(*) AS w FROM t GROUP BY 1, 2),
     o AS (SELECT src, sum(w) AS t FROM w GROUP BY 1),
     vs AS (SELECT src AS v FROM w UNION SELECT dst FROM w),
@@ -196,8 +223,9 @@ def g_community_count(spark, sf_dir):
     return multigraph_labels(trade_multigraph(spark, sf_dir), rounds=2).agg(F.count_distinct("label").alias("n"))
 
 
-@query()
+@query(SWEPT)
 def g_lpa(spark, sf_dir):
+    """At most 30 rounds of sweeps by colour, until a round leaves the number of labels as it was."""
     return label_propagation(trade_edges(spark, sf_dir), "overlap", rounds=30, seed=42)
 
 

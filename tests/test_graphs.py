@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from hashlib import md5
 from itertools import combinations
 
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sendero.operators import communities as co, links as li
+from sendero.operators.colouring import colour
 from sendero.operators.skew import hot_keys, repeat_rows, slice_rows
 from sendero.sources.readers import load_edges
 
@@ -97,6 +99,62 @@ def test_synchronous_labels_match_dicts(spark, min_hot_rows):
     assert dict(map(tuple, got.collect())) == labels
 
 
+def hashed(*parts):
+    return md5(":".join(map(str, parts)).encode()).hexdigest()
+
+
+def plain_colours(near, seed):
+    """Round by round: all try their smallest free colour, the first of rivals keeps it."""
+    near = {v: u - {v} for v, u in near.items()}
+    order = sorted(near, key=lambda v: (len(near[v]), hashed(seed, v), v), reverse=True)
+    place, colours = {v: i for i, v in enumerate(order)}, {}
+    while len(colours) < len(near):
+        tried = {v: next(c for c in range(len(near)) if c not in {colours.get(u) for u in near[v]}) for v in near if v not in colours}
+        colours |= {v: c for v, c in tried.items() if all(tried.get(u) != c or place[u] > place[v] for u in near[v])}
+    return colours
+
+
+def plain_sweeps(near, classes, weight, seed, rounds):
+    """One vertex after the other in the order of (class, vertex); the last class, if neighbours share it, all at once."""
+    labels = {v: v for v in near}
+    for step in range(1, rounds + 1):
+        for c in sorted(set(classes.values())):
+            members = sorted(v for v in near if classes[v] == c)
+            seen = dict(labels) if any(classes[u] == c for v in members for u in near[v]) else labels
+            for v in members:
+                score = Counter()
+                for u in near[v]:
+                    score[seen[u]] += weight(u, v)
+                best = max(score.values())
+                labels[v] = min((label for label, s in score.items() if s == best), key=lambda x: (hashed(seed, step, v, x), x))
+    return labels
+
+
+@pytest.mark.parametrize("min_hot_rows", [COLD, HOT])
+def test_colours_of_neighbours_differ(spark, min_hot_rows):
+    pairs = [p for p in star_with_chords(seed=11) if p[0] != p[1]] + [(200, 201), (300, 301), (300, 302), (301, 302)]
+    arcs = co.symmetrize(edges_of(spark, pairs)).repartition(5)
+    got = dict(map(tuple, colour(arcs, 3, min_hot_rows).collect()))
+    assert got == plain_colours(neighbours(pairs), 3) and all(got[a] != got[b] for a, b in pairs)
+    assert got[0] == 0 and len(set(got.values())) >= 3
+    loops = co.symmetrize(edges_of(spark, [(1, 1), (1, 2), (3, 3)]))
+    assert sorted(map(tuple, colour(loops, 3, min_hot_rows).collect())) == [(1, 0), (2, 1), (3, 0)]
+    assert colour(arcs.where("src < 0"), 3).count() == 0
+
+
+@pytest.mark.parametrize("min_hot_rows, max_classes", [(COLD, 16), (HOT, 16), (COLD, 2)])
+def test_sweeps_equal_one_vertex_at_a_time(spark, min_hot_rows, max_classes):
+    pairs = [p for p in star_with_chords(seed=12) if p[0] != p[1]]
+    near = neighbours(pairs)
+    classes = {v: min(c, max_classes - 1) for v, c in plain_colours(near, 9).items()}
+    assert len(set(classes.values())) == (2 if max_classes == 2 else max(classes.values()) + 1)
+    want = plain_sweeps(near, classes, lambda a, b: plain_weight(near, a, b, "overlap"), 9, 3)
+    weights = co.edge_weights(edges_of(spark, pairs)).select("src", "dst", F.col("w").cast("bigint").alias("w"))
+    got = co.sweep(co.symmetrize(weights), rounds=3, seed=9, stop=None, min_hot_rows=min_hot_rows, max_classes=max_classes)
+    assert dict(map(tuple, got.collect())) == want
+    assert len(set(want.values())) < len(want) / 2
+
+
 def test_multigraph_labels_count_repeats(spark):
     links = [(1, 2), (2, 1), (1, 2), (2, 3), (3, 4), (4, 3)]
     got = co.multigraph_labels(spark.createDataFrame(links, "src bigint, dst bigint"), rounds=1)
@@ -108,7 +166,7 @@ def test_labels_find_the_planted_communities(spark):
     pairs = {(int(a), int(b)) for a, b in combinations(range(60), 2)
              if rng.random() < (0.7 if a // 20 == b // 20 else 0.01)}
     edges = edges_of(spark, sorted(pairs))
-    for mode in ("semi", "sync"):
+    for mode in co.MODES:
         labels = dict(map(tuple, co.label_propagation(edges, mode=mode, stop="labels").collect()))
         assert set(labels) == set(range(60)) and set(labels.values()) <= set(labels)
         groups = [{labels[v] for v in range(20 * g, 20 * g + 20)} for g in range(3)]
@@ -127,8 +185,12 @@ def test_stops_once_the_label_count_stays(spark, monkeypatch):
     calls = []
     pick = co.pick_labels
     monkeypatch.setattr(co, "pick_labels", lambda *a: calls.append(1) or pick(*a))
-    co.label_propagation(edges_of(spark, TWO_TRIANGLES), rounds=30, mode="sync")
-    assert len(calls) < 30
+    for mode in co.MODES:
+        calls.clear()
+        co.label_propagation(edges_of(spark, TWO_TRIANGLES), rounds=30, mode=mode)
+        assert len(calls) < 30
+    with pytest.raises(ValueError):
+        co.label_propagation(edges_of(spark, TWO_TRIANGLES), mode="other")
 
 
 @pytest.mark.parametrize("min_hot_rows", [COLD, HOT])
