@@ -61,19 +61,73 @@ def ml_grid_search(spark, sf_dir):
     return learning.grid_search(vectors(spark, sf_dir), ["vec_id"], "label", [0.7, 0.8, 0.9], list(range(3, 12)))
 
 
-@query()
+PENALTY, L1_SHARE, ROUNDS = 60.0, 0.8, 10
+
+
+def descent() -> str:
+    """SQL of the moments of the training lines and of the same descent steps on them: table ``fit``, a row per step."""
+    names = [*MEASURES, "l_extendedprice"]
+    d = len(MEASURES)
+    hashed = HASHED.format(seed=3, share=0.8).replace("o_orderkey", " || ':' || ".join(LINE_KEY))
+    pairs = [(i, j) for i in range(d + 1) for j in range(i + 1)]
+    aggregates = [f"avg({n}) AS m{i}" for i, n in enumerate(names)] + [f"covar_pop({names[i]}, {names[j]}) AS v{i}{j}" for i, j in pairs]
+
+    def v(i, j):
+        return f"v{max(i, j)}{min(i, j)}"
+    shared = [f"{v(i, j)} / (s{i} * s{j}) AS c{i}{j}" for i in range(d + 1) for j in range(d + 1) if i != j]
+
+    def update(i):
+        rest = f"c{i}{d}" + "".join(f" - c{i}{j} * w{j}" for j in range(d) if j != i)
+        return f"CASE WHEN i % {d} = {i} THEN sign({rest}) * greatest(abs({rest}) - l1, 0) / (1 + l2) ELSE w{i} END AS w{i}"
+    objective = "0.5" + "".join(f" + w{i} * (0.5 * (" + " + ".join(f"{'1' if i == j else f'c{i}{j}'} * w{j}" for j in range(d)) + f") - c{i}{d})"
+                                for i in range(d))
+    objective += f" + l1 * ({' + '.join(f'abs(w{i})' for i in range(d))}) + 0.5 * l2 * ({' + '.join(f'w{i} * w{i}' for i in range(d))})"
+    factors = ", ".join(f"w{i} * s{d} / s{i} AS f{i}" for i in range(d))
+    return f"""WITH RECURSIVE marked AS (SELECT *, {hashed} AS training FROM lineitem),
+        a AS (SELECT {", ".join(aggregates)} FROM marked WHERE training),
+        b AS (SELECT *, {", ".join(f"sqrt(v{i}{i}) AS s{i}" for i in range(d + 1))} FROM a),
+        m AS (SELECT *, {", ".join(shared)}, {PENALTY}::DOUBLE / s{d} * {L1_SHARE}::DOUBLE AS l1,
+              {PENALTY}::DOUBLE / s{d} * (1 - {L1_SHARE}::DOUBLE) AS l2 FROM b),
+        steps AS (SELECT 0 AS i, {", ".join(f"0.0::DOUBLE AS w{i}" for i in range(d))} UNION ALL
+            SELECT i + 1, {", ".join(map(update, range(d)))} FROM steps, m WHERE i < {d * ROUNDS}),
+        fit AS (SELECT i, {objective} AS objective, {factors}, m{d}{"".join(f" - w{i} * s{d} / s{i} * m{i}" for i in range(d))} AS f{d}
+                FROM steps, m),
+        fitted AS (SELECT * FROM fit WHERE i = {d * ROUNDS}) """
+
+
+PREDICTED = f"f{len(MEASURES)}" + "".join(f" + f{i} * {c}" for i, c in enumerate(MEASURES))
+
+
+def penalised(spark, sf_dir):
+    """The fit on the training lines, and both parts."""
+    rows = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_extendedprice", *MEASURES)
+    train, test = learning.split(rows, LINE_KEY, 0.8)
+    return learning.elastic_net(train, MEASURES, "l_extendedprice", PENALTY, L1_SHARE, ROUNDS, tolerance=-1.0), train, test
+
+
+@query(descent() + f"""SELECT {", ".join(LINE_KEY)}, l_extendedprice, round({PREDICTED}, 2) AS prediction
+        FROM marked, fitted WHERE NOT training""")
 def ml_linear_regression(spark, sf_dir):
-    train, test = lines(spark, sf_dir)
-    model = learning.linear_regression(train, "l_extendedprice")
-    return model.transform(test).select(*LINE_KEY, "l_extendedprice", "prediction")
+    fit, _, test = penalised(spark, sf_dir)
+    return test.select(*LINE_KEY, "l_extendedprice", F.round(fit.predict(), 2).alias("prediction"))
 
 
-@query()
+@query(descent() + f""", errors AS (SELECT avg(power(l_extendedprice - ({PREDICTED}), 2)) AS mse, var_pop(l_extendedprice) AS spread
+        FROM marked, fitted WHERE training)
+    SELECT measure, round(value, 5) AS value FROM (
+        {" UNION ALL ".join(f"SELECT 'coefficient of {c}' AS measure, f{i} AS value FROM fitted" for i, c in enumerate(MEASURES))}
+        UNION ALL SELECT 'intercept', f{len(MEASURES)} FROM fitted UNION ALL SELECT 'rmse', sqrt(mse) FROM errors
+        UNION ALL SELECT 'r2', 1 - mse / spread FROM errors
+        UNION ALL SELECT 'thousandfold objective after round ' || (i // {len(MEASURES)}), 1000 * objective FROM fit WHERE i % {len(MEASURES)} = 0)""")
 def ml_lr_summary(spark, sf_dir):
-    train, _ = lines(spark, sf_dir)
-    summary = learning.regression_summary(learning.linear_regression(train, "l_extendedprice"))
-    row = (summary["coefficients"], summary["intercept"], summary["rmse"], summary["r2"], summary["iterations"])
-    return spark.createDataFrame([row], "coefficients array<double>, intercept double, rmse double, r2 double, iterations int")
+    """Coefficients, fit to the training lines, and the objective round by round."""
+    fit, train, _ = penalised(spark, sf_dir)
+    quality = learning.regression_table(train.withColumn("prediction", fit.predict()), "l_extendedprice")
+    known = ([(f"coefficient of {c}", f) for c, f in fit.coefficients.items()] + [("intercept", fit.intercept)]
+             + [(f"thousandfold objective after round {i}", 1000 * o) for i, o in enumerate(fit.objective)])
+    told = spark.createDataFrame(known, "measure string, value double")
+    both = told.unionByName(quality.select(F.explode(F.create_map(F.lit("rmse"), "rmse", F.lit("r2"), "r2")).alias("measure", "value")))
+    return both.select("measure", F.round("value", 5).alias("value"))
 
 
 @query("""SELECT round(sqrt(avg(power(1000 * l_quantity - l_extendedprice, 2))), 4) AS rmse,

@@ -51,6 +51,58 @@ def test_tree_classifier_and_saved_model(planted, tmp_path):
     assert le.accuracy(loaded.transform(test), "kind") == score
 
 
+@pytest.mark.parametrize("shares, depths", [([0.6, 0.8], [1, 2, 4, 7]), ([0.7], [3])])
+def test_depths_of_one_tree_equal_trees_of_their_own(planted, shares, depths):
+    noise = F.when(F.md5(F.col("id").cast("string")) < "4", 3.0 - F.col("kind")).otherwise(F.col("kind"))  # so that deep trees go astray
+    noisy = planted.withColumn("kind", noise)
+    got = [tuple(r) for r in le.grid_search(noisy, ["id"], "kind", shares, depths).orderBy("trial").collect()]
+    want = []
+    for share in shares:
+        train, test = le.split(noisy, ["id"], share)
+        for depth in depths:
+            want.append((len(want), share, depth, le.accuracy(le.tree_classifier(train, "kind", depth).transform(test), "kind")))
+    assert got == [(*w[:3], pytest.approx(w[3], abs=1e-12)) for w in want]
+    assert len({a for *_, a in got}) > len(got) / 2
+
+
+def test_depths_of_a_tree_with_categories(spark):
+    rows = spark.createDataFrame([(i, float(i % 5), float(i % 7), float((i % 5 in (1, 4)) + 2 * (i % 7 > 2))) for i in range(400)],
+                                 "id int, c double, x double, kind double")
+    marked = rows.withColumn("c", F.col("c").alias("c", metadata={"ml_attr": {"type": "nominal", "name": "c", "vals": list("abcde")}}))
+    data = le.assemble(marked, ["c", "x"])
+    model = le.tree_classifier(data, "kind", 4)
+    assert le.tree_nodes(spark, model).where("below is not null").count() > 0
+    got = le.accuracy_by_depth(model, data, "kind", [0, 1, 2, 4])
+    assert got == pytest.approx({d: le.accuracy(le.tree_classifier(data, "kind", d).transform(data), "kind") for d in (0, 1, 2, 4)})
+    assert np.isnan(le.accuracy_by_depth(model, data.where("id < 0"), "kind", [2])[2])
+
+
+@pytest.mark.parametrize("penalty, l1_share", [(0.0, 0.5), (0.3, 0.8), (1.0, 0.0), (1.0, 1.0), (50.0, 0.8)])
+def test_elastic_net_equals_sparks(planted, penalty, l1_share):
+    from pyspark.ml.regression import LinearRegression
+    shifted = planted.withColumns({"a": F.col("a") * 100 + 5000, "k": F.lit(7.0), "c": F.col("c") + F.col("a") / 2}).drop("features")
+    data = le.assemble(shifted, ["a", "b", "c", "k"])
+    fit = le.elastic_net(shifted, ["a", "b", "c", "k"], "y", penalty, l1_share, rounds=500)
+    theirs = LinearRegression(labelCol="y", regParam=penalty, elasticNetParam=l1_share, maxIter=500, tol=1e-12).fit(data)
+    assert list(fit.coefficients.values()) == pytest.approx(theirs.coefficients.toArray().tolist(), abs=1e-4)
+    assert fit.intercept == pytest.approx(theirs.intercept, abs=1e-2)
+    assert all(a >= b - 1e-12 for a, b in zip(fit.objective, fit.objective[1:])) and fit.objective[0] == 0.5
+    assert fit.rounds < 500 and fit.coefficients["k"] == 0
+    mine = le.regression_table(shifted.withColumn("prediction", fit.predict()), "y").first()
+    assert mine.rmse == pytest.approx(le.regression_metric(theirs.transform(data), "y", "rmse"), abs=1e-4)
+
+
+def test_elastic_net_of_odd_rows(spark):
+    schema = "a double, b double, y double"
+    rows = [(1.0, 2.0, 3.0), (2.0, 2.5, 5.0), (3.0, 1.0, 7.0), (None, 1.0, 100.0), (1.0, None, 100.0), (1.0, 1.0, None)]
+    fit = le.elastic_net(spark.createDataFrame(rows, schema), ["a", "b"], "y", penalty=0.0, rounds=200)
+    assert fit.coefficients == pytest.approx({"a": 2.0, "b": 0.0}, abs=1e-6) and fit.intercept == pytest.approx(1.0, abs=1e-5)
+    flat = le.elastic_net(spark.createDataFrame([(1.0, 2.0, 4.0), (2.0, 3.0, 4.0)], schema), ["a", "b"], "y")
+    assert flat.coefficients == {"a": 0.0, "b": 0.0} and flat.intercept == 4.0
+    none = le.elastic_net(spark.createDataFrame([], schema), ["a", "b"], "y")
+    assert np.isnan(none.intercept)
+
+
 def test_linear_regression(planted):
     train, test = le.split(planted, ["id"], 0.8)
     model = le.linear_regression(train, "y")
