@@ -56,6 +56,35 @@ def test_windows_equal_the_batch_result_late_events_included(spark, tmp_path):
     assert got == [(day, "x", 2), (day, "y", 1), (day + dt.timedelta(days=9), "x", 1)]
 
 
+def test_windows_end_and_their_state_goes(spark, tmp_path):
+    schema, day, hour = "ts timestamp_ntz, kind string", dt.timedelta(days=1), dt.timedelta(hours=1)
+    first = dt.datetime(2024, 1, 1)
+    arrivals = [[(first + hour, "x"), (first + 2 * hour, None), (first + 3 * day, "x")],
+                [(first + 5 * hour, "x"), (first + day + hour, "x"), (first + 2 * day, "late"), (first + 3 * day + hour, "x")],
+                [(first + 30 * day, "x"), (first + 31 * day, "x")],
+                [(first + 6 * hour, "x"), (first + 7 * hour, "only late"), (first + 30 * day + hour, "x")]]
+    states, dropped = [], 0
+    for rows in arrivals:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = counts.stream_table(spark, f"{tmp_path}/in", schema)
+        query = counts.count_closed_windows(stream, "ts", "1 day", "1 day", ["kind"], f"{tmp_path}/out", f"{tmp_path}/progress")
+        assert query.awaitTermination(WAIT)
+        states.append(counts.state_rows(query))
+        dropped += counts.rows_dropped(query)
+    closed = counts.read_closed(spark, f"{tmp_path}/out", ["kind"])
+    # After arrival 0 the clock stands at day 2, after arrival 2 at day 30.
+    assert sorted(map(tuple, closed.fillna("-").collect())) == [
+        (first, "-", 1), (first, "x", 1), (first + 2 * day, "late", 1), (first + 3 * day, "x", 2)]
+    until = counts.watermark_of(query)
+    assert until == first + 30 * day
+    told = counts.with_late_rows(closed, spark.read.parquet(f"{tmp_path}/in"), "ts", "1 day", ["kind"], until)
+    assert sorted(map(tuple, told.fillna("-").collect())) == [
+        (first, "-", 1, 0), (first, "only late", 0, 1), (first, "x", 1, 2), (first + day, "x", 0, 1), (first + 2 * day, "late", 1, 0),
+        (first + 3 * day, "x", 2, 0)]
+    assert dropped == 4  # two of one window in different arrivals, and two more
+    assert states[0][-1] == 1 and max(states[1]) == 2 and states[2][-1] == 2 and states[3][-1] == 2
+
+
 def test_failures_surface(spark, two_files, tmp_path):
     def fail(batch, batch_id):
         raise ValueError("no")
