@@ -38,6 +38,16 @@ def merge_ordered(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame
     return left.join(theirs, same, "full").select(*keys, *rest)
 
 
+def merge_ordered_positions(left: DataFrame, right: DataFrame, on: list[str], ties: list[str] | None = None,
+                            name: str = "position") -> DataFrame:
+    """``merge_ordered`` with each row's 1-based place in the order of ``on``, then ``ties``; nulls come last.
+
+    Rows are placed by ranges, so a value that many rows have is spread over tasks if ``ties`` tells them apart.
+    """
+    order = [F.asc_nulls_last(c) for c in [*on, *(ties or [])]]
+    return with_position(merge_ordered(left, right, on), *order, name=name)
+
+
 def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """``(col, p, value)``: exact quantiles, interpolated linearly between the two nearest ranks; NULLs skipped.
 

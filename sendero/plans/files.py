@@ -6,10 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sendero.operators.summaries import describe
 from sendero.plans.registry import query, table
 from sendero.session import table_path
-from sendero.sources import readers, writers
+from sendero.sources import json_arrays, readers, writers
 
 
 @query("SELECT c_custkey, c_mktsegment FROM customer")
@@ -51,6 +50,21 @@ def json_scan(spark, sf_dir):
     return readers.read_json(spark, writers.write_json(orders, table_path(spark, "json")), schema=orders.schema)
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def json_array_scan(spark, sf_dir):
+    """Arrays of orders, a file per writing task, read back in ranges."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    return json_arrays.read_json_arrays(spark, json_arrays.write_json_arrays(orders, table_path(spark, "arrays")), orders.schema)
+
+
+@query("SELECT doc_id, text FROM documents")
+def json_array_documents(spark, sf_dir):
+    """Texts with quotes, braces and line breaks, read in ranges of an array."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = json_arrays.write_json_arrays(documents, table_path(spark, "arrays"))
+    return json_arrays.read_json_arrays(spark, path, "doc_id bigint, text string")
+
+
 @query("""SELECT source, line, count(*) AS n FROM (
           SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1, 2""")
 def text_lines(spark, sf_dir):
@@ -144,9 +158,25 @@ def row_ids(spark, sf_dir):
     return readers.add_row_id(orders).agg(F.count("*").alias("n"), F.count_distinct("row_id").alias("ids"))
 
 
-@query("SELECT unnest(['A', 'B', 'C', 'D']) AS col, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd")
+NORMAL = """round(sqrt(-2 * ln((('0x' || substr(md5('1:{0}:' || o_orderkey), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE))
+    * cos(2 * pi() * ((('0x' || substr(md5('1:{0}:' || o_orderkey), 14, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)), 9) AS {0}"""
+
+
+@query(f"SELECT o_orderkey, {', '.join(NORMAL.format(c) for c in 'ABCD')} FROM orders")
 def normal_columns(spark, sf_dir):
-    """Means and deviations to half a unit, which the drawn normals of any of the tables keep to."""
-    drawn = readers.random_normals(table(spark, sf_dir, "lineitem").select("l_orderkey"), ["A", "B", "C", "D"], seed=1)
-    nearest = lambda c: F.abs(F.round(F.col(c) * 2) / 2).alias(c)
-    return describe(drawn, ["A", "B", "C", "D"]).select("col", nearest("mean"), nearest("sd"))
+    drawn = readers.random_normals(table(spark, sf_dir, "orders").select("o_orderkey"), list("ABCD"), seed=1, key=["o_orderkey"])
+    return drawn.select("o_orderkey", *[F.round(c, 9).alias(c) for c in "ABCD"])
+
+
+@query("""SELECT o_custkey, count(*) AS lines, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS orders, round(sum(l_quantity), 2) AS quantity
+          FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
+def bucketed_join(spark, sf_dir):
+    """Lines and orders laid out by order, merged where they lie and summed up per order before anything moves."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    buckets = writers.buckets_for(lines.count())
+    with writers.laid_out(lines, ["orderkey"], buckets) as lines, writers.laid_out(orders, ["orderkey"], buckets) as orders:
+        per_order = (lines.join(orders.hint("merge"), "orderkey").groupBy("orderkey", "o_custkey")
+                     .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q")))
+        return per_order.groupBy("o_custkey").agg(F.sum("n").alias("lines"), F.count("*").alias("orders"),
+                                                  F.round(F.sum("q"), 2).alias("quantity"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sendero.functions.dates import calendar, date_time_text, parse_date
 from sendero.functions.hashing import short_hash
-from sendero.operators.ordering import merge_ordered as merge_ordered_tables, quantiles, with_position
+from sendero.operators.ordering import (merge_ordered as merge_ordered_tables, merge_ordered_positions, quantiles,
+                                        with_position)
 from sendero.operators.summaries import (assign_between, center, column_means, correlations, describe,
                                          describe_text, group_means, group_sums, histogram,
                                          numeric_columns, reindex)
@@ -146,6 +147,26 @@ def merge_ordered(spark, sf_dir):
     return merge_ordered_tables(purchases, errors, ["user_id", "d"])
 
 
+# A quarter of all events belong to user -1, and some to nobody.
+SKEWED = """CASE WHEN md5(event_id::VARCHAR) < '4' THEN -1 WHEN md5(event_id::VARCHAR) >= 'f' THEN NULL ELSE user_id END"""
+
+
+@query(f"""WITH e AS (SELECT *, {SKEWED} AS who FROM events),
+    a AS (SELECT who, event_id AS bought, value FROM e WHERE event_type = 'purchase'),
+    b AS (SELECT who, count(*) AS errors FROM e WHERE event_type = 'error' GROUP BY 1)
+    SELECT coalesce(a.who, b.who) AS who, bought, value, errors,
+           row_number() OVER (ORDER BY coalesce(a.who, b.who) NULLS LAST, bought NULLS LAST) AS position
+    FROM a FULL JOIN b ON a.who IS NOT DISTINCT FROM b.who""")
+def merge_ordered_position(spark, sf_dir):
+    """Purchases beside their user's number of errors, in the order of the user and then the purchase."""
+    digest = F.md5(F.col("event_id").cast("string"))
+    who = F.when(digest < "4", -1).when(digest >= "f", None).otherwise(F.col("user_id")).cast("bigint")
+    events = table(spark, sf_dir, "events").withColumn("who", who)
+    bought = events.where("event_type = 'purchase'").select("who", F.col("event_id").alias("bought"), "value")
+    errors = events.where("event_type = 'error'").groupBy("who").agg(F.count("*").alias("errors"))
+    return merge_ordered_positions(bought, errors, ["who"], ["bought"])
+
+
 # Both sides have a NULL key and keys that the other lacks.
 MERGED_NULLS = """WITH a AS (SELECT nullif(o_orderpriority, '1-URGENT') AS k, round(sum(o_totalprice), 2) AS v FROM orders
         WHERE o_orderpriority <> '2-HIGH' GROUP BY 1),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from sendero.operators.communities import undirected_edges
@@ -97,9 +97,20 @@ def load_edges(spark: SparkSession, path: str, node_type: str = "string") -> Dat
     return undirected_edges(pairs, "a", "b")
 
 
-def random_normals(df: DataFrame, names: list[str], seed: int = 0) -> DataFrame:
-    """Add standard normal columns."""
-    return df.withColumns({name: F.randn(seed + i) for i, name in enumerate(names)})
+def random_normals(df: DataFrame, names: list[str], seed: int = 0, key: list[str] | None = None) -> DataFrame:
+    """Add standard normal columns.
+
+    With ``key`` a value depends on the seed, its column's name and the row's key alone: the same in any partitioning, in
+    a task that runs again and in any engine. Rows with equal keys draw equal values. Without a key Spark draws them by place.
+    """
+    if key is None:
+        return df.withColumns({name: F.randn(seed + i) for i, name in enumerate(names)})
+
+    def uniform(name: str, first: int) -> Column:
+        """52 bits of the digest, strictly between 0 and 1."""
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(name), *[F.col(k).cast("string") for k in key]))
+        return (F.conv(F.substring(digest, first, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(2.0**52)
+    return df.withColumns({name: F.sqrt(-2 * F.log(uniform(name, 1))) * F.cos(2 * F.pi() * uniform(name, 14)) for name in names})
 
 
 def add_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
+from sendero.session import ROWS_PER_PART, table_path
+
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     df.write.mode(mode).json(path)
@@ -38,6 +44,38 @@ def write_table(df: DataFrame, name: str, format: str = "parquet", path: str | N
     return name
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None, mode: str = "errorifexists") -> str:
+    """A catalog table in ``buckets`` files by a hash of ``keys``, each sorted by them.
+
+    Joins and groups by ``keys`` of tables with as many buckets move and sort nothing. The rows move once, here, so that a bucket
+    is one file; a key with a large share of the rows makes its bucket large, so lay such tables out by more columns.
+    """
+    placed = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = placed.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return name
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a size that one task can hold, for the larger of the tables that are to meet."""
+    return max(8, -(-rows // ROWS_PER_PART))
+
+
+@contextmanager
+def laid_out(df: DataFrame, keys: list[str], buckets: int) -> Iterator[DataFrame]:
+    """``df`` as a bucketed table in the shared folder; its name is gone from the catalog at the end, its files stay.
+
+    What was built from the table inside still reads it afterwards.
+    """
+    spark = df.sparkSession
+    name = f"laid_out_{uuid.uuid4().hex}"
+    write_bucketed(df, name, keys, buckets, path=table_path(spark, "laid-out"))
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def write_labels(labels: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Community labels as JSON records, one per vertex."""
     return write_json(labels, path, mode)

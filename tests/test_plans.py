@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from sendero.functions import wordcount
 from sendero.operators.summaries import center
 from sendero.plans.graphs import sales
+from sendero.sources import writers
 
 
 @contextmanager
@@ -64,6 +66,27 @@ def test_spark_splits_a_hot_order(spark, third_in_one_key, tmp_path):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_laid_out_tables_meet_where_they_lie(spark):
+    rows = spark.range(0, 20000, 1, 8).select((F.col("id") % 4000).alias("k"), F.col("id").alias("x"))
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        with writers.laid_out(rows, ["k"], 8) as left, writers.laid_out(rows.groupBy("k").agg(F.max("x").alias("y")), ["k"], 8) as right:
+            names = {t.name for t in spark.catalog.listTables()}
+            joined = left.join(right, "k").groupBy("k").agg(F.sum("y").alias("y"))
+        plan = plan_after_run(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+        assert joined.count() == 4000 and joined.agg(F.max("y")).first()[0] == 19999 * 5
+    assert not names & {t.name for t in spark.catalog.listTables()}
+    assert writers.buckets_for(10) == 8 and writers.buckets_for(10**11) == 25_000
+
+
+def test_sketches_are_all_that_moves(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sketches = wordcount.merged_sketches(wordcount.vocabulary_sketches(documents, "text", "source"))
+    plan = sketches._jdf.queryExecution().executedPlan().toString()
+    for exchange in plan.split("Exchange")[1:]:
+        assert "partial_hll" in exchange.split("\n")[1]
+
+
 @pytest.mark.parametrize("name,columns,pushed", [
     ("filter_cmp", "o_orderkey:bigint,o_totalprice:double", "GreaterThanOrEqual(o_totalprice,30000.0)"),
     ("filter_and", "o_orderkey:bigint,o_totalprice:double,o_orderpriority:string", "EqualTo(o_orderpriority,5-LOW)"),

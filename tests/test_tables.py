@@ -14,7 +14,8 @@ from sendero.functions import vectorized
 from sendero.functions.dates import calendar, date_time_text, instant_utc, parse_date, unreadable, wall_clock_utc
 from sendero.functions.hashing import short_hash, unit_hash
 from sendero.functions.text import lines_of, words_by_space, words_by_whitespace
-from sendero.functions.wordcount import search_counts, top_words, vocabulary_size, word_counts
+from sendero.functions.wordcount import (first_seen, merged_sketches, search_counts, top_words, top_words_first_seen, vocabulary_sketches,
+                                         vocabulary_size, word_counts)
 from sendero.operators import ordering, summaries
 from sendero.sources import readers, writers
 
@@ -165,6 +166,46 @@ def test_row_ids_and_normals(spark, boats):
     assert abs(normal.agg(F.corr("A", "B")).first()[0]) < 0.05
 
 
+def test_keyed_normals_depend_on_the_key_alone(spark):
+    draw = lambda df, **kw: rows(readers.random_normals(df, ["A", "B"], **kw, key=["id"]))
+    base = spark.range(5000)
+    first = draw(base.repartition(1), seed=3)
+    assert first == draw(base.repartition(7), seed=3) and first != draw(base, seed=4)
+    assert draw(base.where("id in (7, 4000)"), seed=3) == [r for r in first if r[0] in (7, 4000)]
+    values = np.array([r[1:] for r in first])
+    assert np.isfinite(values).all() and abs(values.mean(axis=0)).max() < 0.05 and abs(values.std(axis=0) - 1).max() < 0.05
+    assert abs(np.corrcoef(values.T)[0, 1]) < 0.05 and (abs(values) > 1.96).mean() == pytest.approx(0.05, abs=0.015)
+    assert len(draw(spark.createDataFrame([(None,), (None,)], "id bigint"), seed=1)) == 2
+
+
+def test_equal_counts_in_first_seen_order(spark, tmp_path):
+    texts = [["b a", None, "c  c a"], ["", "d b z", "z d e"], ["e\tq q"]]
+    for i, some in enumerate(texts):
+        spark.createDataFrame([(t,) for t in some], "text string").coalesce(1).write.parquet(f"{tmp_path}/t/part={i}")
+    scan = spark.read.parquet(f"{tmp_path}/t")
+    seen, counts = [], {}
+    for word in [w for some in texts for t in some for w in (t or "").split()]:
+        counts[word] = counts.get(word, 0) + 1
+        seen += [word] if counts[word] == 1 else []
+    want = sorted(seen, key=lambda w: -counts[w])
+    assert [tuple(r) for r in top_words_first_seen(scan, "text", 6).orderBy("rank").collect()] == [
+        (i + 1, w, counts[w]) for i, w in enumerate(want[:6])]
+    places = {r.word: (r.n, r.row, r.place) for r in first_seen(scan, "text").collect()}
+    assert places["c"] == (2, 2, 0) and places["z"] == (2, 1, 2) and places["q"] == (2, 0, 1)
+    assert first_seen(scan.where("text is null"), "text").count() == 0
+
+
+def test_sketches_merge(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.concat(F.lit("w"), (F.col("id") % 7000).cast("string"), F.lit(" x")).alias("t"))
+    sketches = vocabulary_sketches(df, "t", "k")
+    size = lambda d: [r[0] for r in d.select(F.hll_sketch_estimate("sketch")).collect()]
+    exact = [r[0] for r in df.groupBy("k").agg(F.count_distinct("t") + 1).select(F.col("(count(DISTINCT t) + 1)")).collect()]
+    assert sorted(size(sketches)) == [pytest.approx(n, rel=0.02) for n in sorted(exact)]
+    assert size(merged_sketches(sketches)) == [pytest.approx(7001, rel=0.02)]
+    assert size(vocabulary_sketches(df, "t")) == [pytest.approx(7001, rel=0.02)]
+    assert size(vocabulary_sketches(df.where("k < 0"), "t", "k")) == []
+
+
 def test_group_summaries(spark, tides):
     assert rows(summaries.group_means(tides, "port")) == [
         ("Hull", pytest.approx(28 / 3), 6.0), ("Kiel", 3.5, 2.0), ("Oban", 2.0, 4.0)]
@@ -306,6 +347,19 @@ def test_large_integers_beside_nulls(spark):
     assert rows(vectorized.keep_equal(df, "x", 2**53 + 1)) == [(2**53 + 1,)]
 
 
+def test_merge_positions_with_a_hot_key_and_nulls(spark):
+    left = pd.DataFrame({"k": [1.0 if i % 3 else float(i % 10) for i in range(400)], "n": range(400)})
+    left.loc[left.n % 50 == 7, "k"] = np.nan
+    right = pd.DataFrame({"k": [1.0, 3.0, 77.0, np.nan], "w": ["a", "b", "c", "d"]})
+    placed = ordering.merge_ordered_positions(readers.from_pandas(spark, left, "k double, n bigint").repartition(5),
+                                              readers.from_pandas(spark, right), ["k"], ["n"])
+    got = [(r.k, r.n, r.w) for r in placed.orderBy("position").collect()]
+    assert [r.position for r in placed.orderBy("position").collect()] == list(range(1, len(got) + 1))
+    want = pd.merge(left, right, on="k", how="outer").sort_values(["k", "n"], na_position="last")
+    clean = lambda v: None if pd.isna(v) else v
+    assert got == [tuple(map(clean, r)) for r in want.itertuples(index=False)]
+
+
 def test_merge_ordered(spark):
     left = spark.createDataFrame([("Kiel", 3, 1.5), ("Kiel", 4, 2.5), (None, 3, 9.0)], "port string, hour int, level double")
     right = spark.createDataFrame([("Kiel", 4, "ebb"), ("Oban", 3, "flood"), (None, 3, "slack")], "port string, hour int, tide string")
