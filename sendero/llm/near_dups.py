@@ -30,8 +30,9 @@ SIGNATURE_LONGS = MINIMA * B // 64
 #: 3.4 standard errors of the estimate at a similarity of 0.8, 3.8 at 0.85; pairs this far below the threshold are left out.
 MARGIN = 0.1
 BLOCK_ROWS = 1024
-#: Partners of a document in a block that the first round confirms.
-FIRST_ROUND = 8
+#: Partners of a document in a block, best first, up to which each round but the last confirms pairs. Most documents of a large
+#: group are joined by their best partner, so the later rounds find few pairs apart.
+ROUND_ENDS = (1, 8)
 EVEN_BITS = 0x5555555555555555
 
 _random = np.random.default_rng(5)
@@ -65,8 +66,11 @@ def band_keys(minima_: np.ndarray) -> np.ndarray:
 
 
 def pack_bits(minima_: np.ndarray) -> np.ndarray:
-    """The lowest ``B`` bits of each minimum, packed into ``SIGNATURE_LONGS`` integers."""
-    low = (minima_ & np.uint32(2**B - 1)).astype(np.uint64).reshape(len(minima_), SIGNATURE_LONGS, 64 // B)
+    """The lowest ``B`` bits of each minimum, mixed first, packed into ``SIGNATURE_LONGS`` integers.
+
+    Unmixed, the low bits of all minima of a shingle would depend on the low bits of its one hash, and so on each other.
+    """
+    low = (mix(minima_.astype(np.uint64)) & np.uint64(2**B - 1)).reshape(len(minima_), SIGNATURE_LONGS, 64 // B)
     places = np.arange(0, 64, B, dtype=np.uint64)
     return np.bitwise_or.reduce(low << places, axis=2).view(np.int64)
 
@@ -183,7 +187,7 @@ def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int |
     """The same in larger buckets, by blocks of about ``BLOCK_ROWS``: outsiders against all.
 
     Of each outsider's likely partners in a block, sorted by estimate, those with a place in ``ranks`` come out. Who is
-    an outsider was settled before the first round, so what that round put off is said by the same member in the second,
+    an outsider was settled before the first round, so what one round puts off is said by the same member in a later one,
     whatever has been joined meanwhile.
     """
     rows = (open_members.where(F.col("n") > BLOCK_ROWS).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
@@ -259,11 +263,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     waiting = placed(links)
     links = materialize(links.union(confirm(_pairs_with_leaders(waiting, low), texts, size, percent)))
     waiting = placed(links)
-    pairs = _pairs_in_large(waiting, low, (0, FIRST_ROUND)).union(_pairs_in_small(waiting, low))
+    pairs = _pairs_in_large(waiting, low, (0, ROUND_ENDS[0])).union(_pairs_in_small(waiting, low))
     links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
     put_off = waiting.where(F.col("n") > BLOCK_ROWS).select(*shared.columns, "outside")
-    pairs = _pairs_in_large(placed(links, put_off), low, (FIRST_ROUND, None))
-    links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
+    for ranks in zip(ROUND_ENDS, [*ROUND_ENDS[1:], None]):
+        pairs = _pairs_in_large(placed(links, put_off), low, ranks)
+        links = materialize(links.union(confirm(pairs.distinct(), texts, size, percent)))
     parts = components(links)
     reached = classes.join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "content", F.coalesce("component", "rep").alias("component"))

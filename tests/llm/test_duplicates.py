@@ -108,7 +108,7 @@ def two_groups(seed, first):
 
 def test_near_duplicates_when_the_largest_component_changes(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK_ROWS", 15)
-    monkeypatch.setattr(near_dups, "FIRST_ROUND", 1)
+    monkeypatch.setattr(near_dups, "ROUND_ENDS", (1,))
     docs = [row for i in range(8) for row in two_groups(i, 100 * i)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
     got = {r.doc_id: tuple(r)[1:] for r in near_duplicates(df, percent=80).collect()}
