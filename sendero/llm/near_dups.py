@@ -151,13 +151,19 @@ def _first_shared(x: Column, y: Column) -> Column:
 def _open_buckets(members: DataFrame) -> DataFrame:
     """``members`` of buckets with several components, their bucket's size ``n`` and largest component ``main``.
 
-    ``outside`` says who is not in ``main``. Where ``members`` have it from an earlier round, it stays as it was.
+    ``outside`` says who is not in ``main``. Where ``members`` have it from an earlier round, it stays as it was. ``speaks``
+    says who of them still has to: if those that were inside are in ``main`` now, all pairs of ``main`` with others have an
+    outsider at the other end, so only outsiders that are not in ``main`` either need to.
     """
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                       F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    found = members.join(main.drop("parts"), "bucket")
-    return found if "outside" in members.columns else found.withColumn("outside", F.col("component") != F.col("main"))
+    again = "outside" in members.columns
+    inside = F.max(~F.col("outside")) if again else F.lit(False)
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), inside.alias("inside"))
+    main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"),
+                                       F.count("*").alias("parts"), F.max(F.when(F.col("inside"), F.col("component"))).alias("home"))
+    found = members.join(main.where("parts > 1").drop("parts"), "bucket")
+    apart = F.col("component") != F.col("main")
+    found = found if again else found.withColumn("outside", apart)
+    return found.withColumn("speaks", F.col("outside") & (apart | (F.col("home") != F.col("main")))).drop("home")
 
 
 def _pairs_with_leaders(open_members: DataFrame, low: float) -> DataFrame:
@@ -184,19 +190,27 @@ def _pairs_in_small(open_members: DataFrame, low: float) -> DataFrame:
 
 
 def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int | None]) -> DataFrame:
-    """The same in larger buckets, by blocks of about ``BLOCK_ROWS``: outsiders against all.
+    """The same in larger buckets, by blocks of about ``BLOCK_ROWS``: outsiders that speak against all.
+
+    Speakers are dealt to as many blocks ``i`` as they fill, all members to blocks ``j``, so what is sent again for each
+    block on the other side falls with the number of speakers, and buckets without any send nothing.
 
     Of each outsider's likely partners in a block, sorted by estimate, those with a place in ``ranks`` come out. Who is
     an outsider was settled before the first round, so what one round puts off is said by the same member in a later one,
     whatever has been joined meanwhile.
     """
-    rows = (open_members.where(F.col("n") > BLOCK_ROWS).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
-            .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    large = open_members.where(F.col("n") > BLOCK_ROWS)
+    speakers = large.where("speaks").groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("i_blocks"))
+    rows = large.join(speakers, "bucket").withColumn("j_blocks", F.ceil(F.col("n") / BLOCK_ROWS))
     columns = ["band", "doc_id", "component", "bands", "packed"]
-    outside = rows.where("outside").select(
-        "bucket", F.col("own").alias("i"), every.alias("j"), *columns)
-    inside = rows.select(F.col("bucket").alias("bucket"), every.alias("i"), F.col("own").alias("j"),
+
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.col(blocks))
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
+    outside = rows.where("speaks").select("bucket", own("i_blocks").alias("i"), every("j_blocks").alias("j"), *columns)
+    inside = rows.select(F.col("bucket").alias("bucket"), every("i_blocks").alias("i"), own("j_blocks").alias("j"),
                          *[F.col(c).alias(c) for c in columns])  # columns of their own, not shared with the other side
     most = int((1 - low) * (1 - 2.0**-B) * MINIMA)
 
