@@ -31,8 +31,8 @@ SIGNATURE_LONGS = MINIMA * B // 64
 MARGIN = 0.1
 BLOCK_ROWS = 1024
 #: Partners of a document in a block, best first, up to which each round but the last confirms pairs. Most documents of a large
-#: group are joined by their best partner, so the later rounds find few pairs apart.
-ROUND_ENDS = (1, 8)
+#: group are joined by their best partner in each block, so the last round finds few pairs apart.
+ROUND_ENDS = (1,)
 EVEN_BITS = 0x5555555555555555
 
 _random = np.random.default_rng(5)
