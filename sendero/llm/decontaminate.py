@@ -142,13 +142,30 @@ def pairs_of(tokens: np.ndarray, either: np.ndarray) -> list[np.ndarray]:
     return [mix(a[:-1] + b[1:] * STEP) for a in (tokens, named) for b in (tokens, named)]
 
 
-def strangers(tokens: np.ndarray, either: np.ndarray, table: np.ndarray, shift: np.uint64) -> np.ndarray:
-    """Whether no way to read a pair of neighbours is in the table of ``marks``."""
-    out = ~table[mix(tokens[:-1] + tokens[1:] * STEP) >> shift]
-    first = np.flatnonzero(out & (either[:-1] | either[1:]))
-    a, b = ((tokens[i], np.where(either[i], PLACEHOLDERS[0], tokens[i])) for i in (first, first + 1))
-    out[first] = ~np.logical_or.reduce([table[mix(x + y * STEP) >> shift] for x in a for y in b])
-    return out
+def believable(tokens: np.ndarray, kinds: np.ndarray, either: np.ndarray, size: int, literal: int, table: np.ndarray,
+               shift: np.uint64) -> np.ndarray:
+    """Which windows of ``size`` tokens can be ones whose pairs of neighbours are all in the table of ``marks``.
+
+    Every pair has to be there in some way to read it, and ``literal`` words have to be left when those are taken out
+    that, read as words, make no known pair with what stands beside them in the window.
+    """
+    def known(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return table[mix(a + b * STEP) >> shift]
+    left, right = tokens[:-1], tokens[1:]
+    after = known(left, right)  # a pair whose left token is a word, or has but one reading
+    before = after.copy()  # the same of the right one
+    name, new = PLACEHOLDERS[:1], np.flatnonzero(~after & either[1:])
+    after[new] = known(left[new], name)
+    new = np.flatnonzero(~before & either[:-1])
+    before[new] = known(name, right[new])
+    strange = ~(after | before | (either[:-1] & either[1:] & known(name, name)))
+    word, no = kinds == WORD, [False]
+    last = np.concatenate([word[:-1] & ~after, no])
+    first = np.concatenate([no, word[1:] & ~before]) & ~last
+    strange, word, last, first = (np.concatenate([[0], np.cumsum(x)]) for x in (strange, word, last, first))
+    n = max(len(tokens) - size + 1, 0)
+    spoken = (word[size:] - word[:n]) - (last[size - 1:][:n] - last[:n]) - (first[size:] - first[1:][:n])
+    return (strange[size - 1:] == strange[:n]) & (spoken >= literal)
 
 
 def exact_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -198,8 +215,7 @@ def template_windows(rows: DataFrame, key: str, text: str, size: int, literal: i
             owner = np.repeat(np.arange(len(counts)), counts)
             wanted = whole(size, owner)
             if paired is not None and len(wanted):
-                before = np.concatenate([[0], np.cumsum(strangers(tokens, either, pair_table, pair_shift))])
-                wanted &= before[size - 1:] == before[:len(wanted)]
+                wanted &= believable(tokens, kinds, either, size, literal, pair_table, pair_shift)
             if exact is None and len(tokens):
                 found = np.unique(np.concatenate(pairs_of(tokens, either)))
                 yield pa.RecordBatch.from_arrays(
