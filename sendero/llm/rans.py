@@ -28,7 +28,7 @@ SHARD_IDS = 1 << 23
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
 
-IDS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
+IDS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary()), ("counts", pa.binary())])
 BLOCKS = pa.schema([("shard", pa.int64()), ("first", pa.int64()), ("n_ids", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                     ("checkpoint", pa.binary()), ("words", pa.binary()), ("words_crc32", pa.int64()),
@@ -52,22 +52,23 @@ class Coder:
         self.start = np.cumsum(self.freq) - self.freq
         self.symbol = np.repeat(np.arange(len(self.ids), dtype=np.uint32), share)
         self.fill = int(share.argmax()) if len(share) else 0
+        self.place = np.zeros(int(self.ids.max(initial=0)) + 1, np.uint32)  # by id; bounded by the vocabulary
+        self.place[self.ids] = np.arange(len(self.ids))
 
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(states, words)``; the last row is filled up with the most frequent id."""
         rows = -(-len(ids) // LANES)
-        at = np.full(rows * LANES, self.fill, np.int64)
-        at[:len(ids)] = np.searchsorted(self.ids, ids)
+        at = np.full(rows * LANES, self.fill, np.uint32)
+        at[:len(ids)] = self.place[ids]
         freq, start = self.freq[at].reshape(rows, LANES), self.start[at].reshape(rows, LANES)
-        bits, low32 = np.uint64(SCALE_BITS), np.uint64(0xFFFFFFFF)
+        limit, gap = freq << np.uint64(63 - SCALE_BITS), np.uint64(2**SCALE_BITS) - freq
         x, out = np.full(LANES, LOW, np.uint64), []
         for row in range(rows - 1, -1, -1):
-            f = freq[row]
-            full = x >= f << np.uint64(63 - SCALE_BITS)
-            out.append((x[full] & low32).astype(np.uint32))
-            x[full] >>= np.uint64(32)
-            q = x // f
-            x = (q << bits) + (x - q * f) + start[row]
+            full = np.flatnonzero(x >= limit[row])
+            high = x[full]
+            out.append(high.astype(np.uint32))  # the low half
+            x[full] = high >> np.uint64(32)
+            x += (x // freq[row]) * gap[row] + start[row]
         return x, np.concatenate(out[::-1]) if out else np.empty(0, np.uint32)
 
     def decode(self, states: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
@@ -87,36 +88,42 @@ class Coder:
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n, packed)``: the ids of every whole text and ``end_id``, as packed 16- or 32-bit integers."""
+    """``(doc_id, n, packed, counts)``: the ids of every whole text and ``end_id``, as packed 16- or 32-bit integers.
+
+    ``counts`` is null there. A row more per task, with ``n`` and ``packed`` null, has the task's ids and their counts in it.
+    """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = Subwords(path), zstandard.ZstdCompressor(1).compress
-        end = np.array([end_id], "<u4").tobytes()
+        end, total = np.array([end_id], "<u4").tobytes(), np.zeros(0, np.int64)
         for batch in by_bytes(batches, "_text"):
-            ids = [np.frombuffer(own + end, "<u4") for own in encoder.encode_all(batch.column("_text").to_pylist())]
+            coded = [own + end for own in encoder.encode_all(batch.column("_text").to_pylist())]
+            own = np.bincount(np.frombuffer(b"".join(coded), "<u4"), minlength=len(total))
+            own[:len(total)] += total
+            total = own
+            ids = [np.frombuffer(c, "<u4") for c in coded]
             packed = [squeeze((a.astype("<u2") if a.max() < 1 << 16 else a).tobytes()) for a in ids]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, ids), pa.int64()),
-                                              pa.array(packed, pa.binary())], schema=IDS)
+                                              pa.array(packed, pa.binary()), pa.nulls(len(ids), pa.binary())], schema=IDS)
+        if len(total):
+            seen = np.flatnonzero(total)
+            counts = np.stack([seen, total[seen]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((None, None, None, counts), IDS)], schema=IDS)
     rows = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("_text"))
-    return rows.mapInArrow(pack, "doc_id bigint, n bigint, packed binary")
+    return rows.mapInArrow(pack, "doc_id bigint, n bigint, packed binary, counts binary")
 
 
-def _unpack(packed: bytes, n: int) -> np.ndarray:
-    data = zstandard.ZstdDecompressor().decompress(packed)
+def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype(np.uint32)
 
 
 def id_counts(tokens: DataFrame) -> tuple[list[int], list[int]]:
     """Every id of the corpus and its count; at most one entry per id of the vocabulary reaches the driver."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in by_bytes(batches, "packed"):
-            ids = map(_unpack, batch.column("packed").to_pylist(), batch.column("n").to_pylist())
-            own = np.bincount(np.concatenate(list(ids)), minlength=len(total))
-            own[:len(total)] += total
-            total = own
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
-    rows = (tokens.select("n", "packed").mapInArrow(count, "id bigint, n bigint")
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for counts in batch.column("counts").to_pylist():
+                ids, n = np.frombuffer(counts, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], ["id", "n"])
+    rows = (tokens.where("counts is not null").select("counts").mapInArrow(spread, "id bigint, n bigint")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     return [r["id"] for r in rows], [r["n"] for r in rows]
 
@@ -136,7 +143,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, path: str, key: str
     coder = spark.sparkContext.broadcast(Coder(ids, counts))  # bounded by the vocabulary
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, first = TaskContext.get().partitionId(), 0
+        shard, first, stretch = TaskContext.get().partitionId(), 0, zstandard.ZstdDecompressor().decompress
         keys, parts, size = [], [], 0
 
         def close() -> pa.RecordBatch:
@@ -149,7 +156,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, path: str, key: str
         for batch in batches:
             for doc, n, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "packed"))):
                 keys.append(doc)
-                parts.append(_unpack(packed, n))
+                parts.append(_unpack(stretch(packed), n))
                 size += n
                 if size >= BLOCK_IDS:
                     yield close()
@@ -158,7 +165,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, path: str, key: str
             yield close()
     shards = max(spark.sparkContext.defaultParallelism, sum(counts) // SHARD_IDS + 1)
     order = ["doc_id", F.xxhash64("packed"), "packed"]
-    ordered = tokens.repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
+    ordered = tokens.where("packed is not null").drop("counts").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
     ordered.mapInArrow(blocks, BLOCKS_DDL).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
