@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
+from sendero.session import materialize
 
 # The grammar's function words.
 THREATS = "kill hurt destroy beat punch shoot stab burn hang attack".split()
@@ -202,16 +203,29 @@ def clause_features(docs: DataFrame, weights: dict[str, float], keep: list[str],
         measure, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", strongest double, summed double")
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> list[float]:
-    """Ridge-penalised logistic regression by Newton's method; the intercept comes first and is not penalised."""
-    design = np.column_stack([np.ones(len(x)), x])
-    penalty = np.diag([1e-6] + [ridge] * x.shape[1])
-    beta = np.zeros(design.shape[1])
+def fit_logistic(cells: DataFrame, ridge: float = 0.1, rounds: int = 30) -> list[float]:
+    """Ridge-penalised logistic regression by Newton's method; the intercept comes first and is not penalised.
+
+    ``cells (toxic, strongest, summed, n)``, ``n`` rows each. Spark sums a step's slopes and curvatures, so the driver
+    gets nine numbers a round, whatever the number of cells. Without cells the coefficients are zeros.
+    """
+    terms = [F.lit(1.0), F.col("strongest"), F.col("summed")]
+    places = [(i, j) for i in range(3) for j in range(i, 3)]
+    penalty, beta = np.diag([1e-6, ridge, ridge]), np.zeros(3)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        slope = design.T @ (y - p) - penalty @ beta
-        beta += np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + penalty, slope)
-    return beta.tolist()
+        logit = sum((F.lit(float(b)) * t for b, t in zip(beta, terms)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit))))
+        sums = [F.sum(F.col("n") * (F.col("toxic") - F.col("_p")) * t) for t in terms]
+        sums += [F.sum(F.col("n") * F.col("_p") * (1 - F.col("_p")) * terms[i] * terms[j]) for i, j in places]
+        row = np.array([v or 0.0 for v in cells.withColumn("_p", p).agg(*sums).first()])
+        curve = np.zeros((3, 3))
+        for (i, j), v in zip(places, row[3:]):
+            curve[i, j] = curve[j, i] = v
+        step = np.linalg.solve(curve + penalty, row[:3] - penalty @ beta)
+        beta += step
+        if np.abs(step).max() < 1e-10:
+            break
+    return np.round(beta, 9).tolist()  # the order in which tasks are summed does not show
 
 
 def fold(key: str):
@@ -224,7 +238,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """``(weights, coefficients)`` from labelled documents outside fold 1: words from fold 0, calibration from fold 2.
 
     At most ``sample`` labelled rows, those with the smallest key hashes, are used; that bounds what is fitted on, not
-    what is scored. Rows without a label of 0 or 1 are left out; of rows repeated with one key all are used.
+    what is scored. Rows without a label of 0 or 1 are left out; of rows repeated with one key all are used,
+    counted by Spark, never gathered.
     """
     known = labels.select(labels[key].cast("bigint").alias("_key"), labels[label].cast("int").alias("toxic"))
     chosen = (known.where("toxic in (0, 1) and _key is not null").where(fold("_key") != 1)
@@ -232,11 +247,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     texts = docs.select(docs[key].cast("bigint").alias("_key"), docs[text].alias("text"))
     rows = texts.join(F.broadcast(chosen), "_key").withColumn("_fold", fold("_key"))
     weights = learn_weights(rows.where("_fold = 0").select("text", "toxic"))
-    seen = clause_features(rows.where("_fold = 2"), weights, ["toxic"]).collect()
-    if not seen or not weights:
+    cells = materialize(clause_features(rows.where("_fold = 2"), weights, ["toxic"])
+                        .groupBy("toxic", "strongest", "summed").agg(F.count("*").alias("n")))
+    if not weights or cells.isEmpty():
         return weights, [-2.0, 1.0, 0.0]
-    x = np.array([[r["strongest"], r["summed"]] for r in seen])
-    return weights, fit_logistic(x, np.array([r["toxic"] for r in seen], float))
+    return weights, fit_logistic(cells)
 
 
 def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], list[float]], key: str = "doc_id",

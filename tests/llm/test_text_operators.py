@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,23 @@ def test_toxicity_of_edge_cases(spark, edge_docs, no_docs):
     assert weights == {}
 
 
+def test_calibration_equals_newtons_steps_on_all_rows(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.exponential(1.0, (400, 2)), 1)
+    y = (rng.random(400) < 1 / (1 + np.exp(1.5 - x[:, 0]))).astype(int)
+    design, penalty, beta = np.column_stack([np.ones(400), x]), np.diag([1e-6, 0.1, 0.1]), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ beta))
+        curve = (design * (p * (1 - p))[:, None]).T @ design + penalty
+        beta += np.linalg.solve(curve, design.T @ (y - p) - penalty @ beta)
+    rows = spark.createDataFrame([(int(t), float(a), float(b)) for t, (a, b) in zip(y, x)],
+                                 "toxic int, strongest double, summed double")
+    cells = rows.groupBy("toxic", "strongest", "summed").agg(F.count("*").alias("n"))
+    assert cells.count() < 400
+    assert toxicity.fit_logistic(cells) == pytest.approx(beta.tolist(), abs=1e-7)
+    assert toxicity.fit_logistic(cells.where("n < 0")) == [0.0, 0.0, 0.0]
+
+
 def test_toxicity_on_held_out_labels(spark):
     rng = random.Random(5)
     words = ["".join(rng.choices("aeioulmnrst", k=5)) for _ in range(300)]
@@ -193,6 +212,33 @@ def test_names_that_open_sentences_are_names(spark, monkeypatch, readings):
     assert [g for g in got if g[0] != 4] == [(1, 1, 9, 1), (2, 2, 1, 0), (3, 2, 1, 0)]
 
 
+@pytest.mark.parametrize("size, literal", [(1, 1), (2, 1), (3, 2), (4, 4), (5, 2)])
+def test_no_window_with_a_known_reading_is_left_out(size, literal):
+    rng = np.random.default_rng(size)
+    name, number = decontaminate.PLACEHOLDERS[0], decontaminate.PLACEHOLDERS[1]
+    words = rng.integers(1, 2**63, 6, np.uint64)
+    kept, left_out = 0, 0
+    for _ in range(30):
+        n = int(rng.integers(size, 60))
+        kinds = rng.choice([decontaminate.WORD, decontaminate.NAME, decontaminate.NUMBER], n, p=[0.8, 0.1, 0.1])
+        tokens = np.select([kinds == decontaminate.NAME, kinds == decontaminate.NUMBER], [name, number], rng.choice(words, n))
+        either = (kinds == decontaminate.WORD) & (rng.random(n) < 0.4)
+        every = [*words, name, number]
+        pairs = [(a, b) for a in every for b in every if rng.random() < 0.3]
+        left, right = np.array(pairs, np.uint64).T
+        held = np.sort(decontaminate.mix(left + right * decontaminate.STEP))
+        got = decontaminate.believable(tokens, kinds, either, size, literal, *decontaminate.marks(held))
+        assert len(got) == n - size + 1
+        for i in range(n - size + 1):
+            ways = [[(t, k == decontaminate.WORD), (name, False)] if e else [(t, k == decontaminate.WORD)]
+                    for t, k, e in zip(tokens[i:i + size], kinds[i:i + size], either[i:i + size])]
+            known = any(sum(w for _, w in way) >= literal and all((a, b) in pairs for (a, _), (b, _) in itertools.pairwise(way))
+                        for way in itertools.product(*ways))
+            assert got[i] or not known
+            kept, left_out = kept + bool(known), left_out + (not got[i])
+    assert kept and left_out
+
+
 @pytest.mark.parametrize("held", [decontaminate.HELD_WINDOWS, 0])
 def test_short_and_wordless_items_are_found_as_they_are(spark, monkeypatch, held):
     monkeypatch.setattr(decontaminate, "HELD_WINDOWS", held)
