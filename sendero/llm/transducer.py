@@ -25,6 +25,10 @@ from sendero.llm.subwords import BYTE_CHARS, Subwords
 from sendero.session import materialize
 
 LEXICON_WORDS = 100_000
+#: Longer words are merged by the tokenizer; no lexicon holds them.
+LEXICON_CHARS = 64
+#: Characters of texts a task reads before it hands on what it counted, so that unspaced texts cannot fill its memory.
+COUNTED_CHARS = 64_000_000
 CHAR_BYTES = {c: b for b, c in BYTE_CHARS.items()}
 
 
@@ -127,7 +131,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", limit: int =
     Each task counts its stretches between blanks and cuts only the distinct ones into words.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, chunks, words = Subwords(path).find, Counter(), Counter()
+        find, chunks, words, chars = Subwords(path).find, Counter(), Counter(), 0
 
         def drain() -> pa.RecordBatch:
             for chunk, n in chunks.items():
@@ -141,12 +145,14 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", limit: int =
         for batch in by_bytes(batches, text):
             for value in batch.column(text).to_pylist():
                 chunks.update((value or "").split(" "))
-            if len(chunks) > 1_000_000:
+                chars += len(value or "")
+            if len(chunks) > 1_000_000 or chars > COUNTED_CHARS:
                 yield drain()
+                chars = 0
         yield drain()
 
     counted = materialize(docs.select(text).mapInArrow(count, "word string, n bigint")
-                          .groupBy("word").agg(F.sum("n").alias("n")))
+                          .where(F.length("word") <= LEXICON_CHARS).groupBy("word").agg(F.sum("n").alias("n")))
     # How many words have each length of count, largest first: the least count of which not too many words reach it.
     kinds = counted.groupBy(F.floor(F.log2("n") * 16).alias("size")).agg(F.count("*").alias("words"))
     least, taken = None, 0

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sendero.llm import queries, rans
+from sendero.llm import queries, rans, transducer
 from sendero.llm.subwords import Subwords, split_long
 from sendero.llm.token_counts import count_tokens
 from sendero.llm.transducer import Lexicon, compile_lexicon, decode, encode, round_trip
@@ -69,6 +69,15 @@ def test_the_lexicons_size_does_not_matter(spark, edge_docs, no_docs, limit):
         assert round_trip(no_docs, path).count() == 0
 
 
+@pytest.mark.parametrize("chars", [10, 64_000_000])
+def test_words_are_counted_whole_however_often_they_are_handed_on(spark, monkeypatch, chars):
+    monkeypatch.setattr(transducer, "COUNTED_CHARS", chars)
+    texts = ["all of the words", "的" * 5000, "of the words", None, "x" * 500, "the words"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    words = transducer.frequent_words(df, public_tokenizers.path("byte_bpe_50k.json"))
+    assert {" the", " words"} <= set(words) and max(map(len, words)) <= transducer.LEXICON_CHARS
+
+
 def test_counts(spark, edge_docs, no_docs):
     path, tokenizer = public_tokenizers.path("byte_bpe_50k.json"), library("byte_bpe_50k.json")
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in count_tokens(edge_docs, path).collect())
