@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sendero.llm.arrays import running
+
 # The template's control strings and escapes. The backslash is escaped first and restored last.
 OPEN, AFTER_ROLE, BETWEEN, CLOSE = "### ", ": ", "<and>", "</turn>\n"
 ESCAPES = [("\\", "\\b"), ("<", "\\l"), ("#", "\\h"), (":", "\\c")]
@@ -60,23 +62,22 @@ def loss_spans(formatted: DataFrame, role: str = "assistant", conv: str = "conv_
     A text is a span of its own also where turns were merged, so the control strings between are under no mask.
     """
     opening = len(OPEN) + len(AFTER_ROLE)
-    parts = F.transform(_written_blocks(F.col("formatted")), lambda b: F.struct(
+    blocks = F.transform(_written_blocks(F.col("formatted")), lambda b: F.struct(
         _role(b).alias("role"), F.transform(_texts(b), lambda t: F.length(t)).alias("sizes")))
-    # Walks the lengths; a span is added to the list only for texts under the mask.
-    step = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def in_block(acc: Column, size: Column) -> Column:
-        span = F.struct(acc["at"].alias("start"), (acc["at"] + size).alias("end"))
-        return F.struct((acc["at"] + size + len(BETWEEN)).alias("at"), F.array_append(acc["spans"], span).alias("spans"))
-
-    def over_blocks(acc: Column, block: Column) -> Column:
-        first = acc["at"] + opening + F.length(block["role"])
-        masked = F.aggregate(block["sizes"], F.struct(first.alias("at"), acc["spans"].alias("spans")), in_block)
-        total = F.aggregate(block["sizes"], first, lambda n, size: n + size + len(BETWEEN))
-        after = (total - len(BETWEEN) + len(CLOSE)).alias("at")
-        return F.struct(after, F.when(block["role"] == escape(F.lit(role)), masked["spans"])
-                        .otherwise(acc["spans"]).alias("spans"))
-    return formatted.select(conv, "formatted", F.aggregate(parts, step, over_blocks)["spans"].alias("spans"))
+
+    def pieces(block: Column, i: Column) -> Column:
+        first = F.length(block["role"]) + opening + F.when(i == 0, 0).otherwise(len(CLOSE))
+        return F.transform(block["sizes"], lambda size, j: F.struct(
+            F.when(j == 0, first).otherwise(len(BETWEEN)).alias("gap"), size.alias("size"),
+            (block["role"] == escape(F.lit(role))).alias("masked")))
+
+    def span(at: Column, piece: Column) -> Column:
+        return F.struct((at + piece["gap"]).alias("start"), (at + piece["gap"] + piece["size"]).alias("end"),
+                        piece["masked"].alias("masked"))
+    spans = running(F.flatten(F.transform(blocks, pieces)), lambda at, piece: at + piece["gap"] + piece["size"], span,
+                    "struct<start:int,end:int,masked:boolean>")
+    return formatted.select(conv, "formatted", F.transform(F.filter(spans, lambda s: s["masked"]), lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
 def _written_blocks(formatted: Column) -> Column:

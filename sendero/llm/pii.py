@@ -8,6 +8,8 @@ with a high score that no base shape found are added as ``found_<kind>``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sendero.llm.arrays import running
@@ -92,14 +94,55 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     rows = rows.withColumn("base", F.concat(*map(checked, range(len(KINDS)), KINDS)))
 
-    def mention(span: Column, i: Column) -> Column:
-        before = F.lower(F.right(F.element_at("_mention_gaps", i + 1), F.lit(CONTEXT_CHARS)))
+    rows = rows.withColumn("_events", _in_order("_mention", "base"))
+    parts = F.arrays_zip(F.col("_mention").alias("span"), F.slice("_mention_gaps", 1, F.size("_mention")).alias("gap"),
+                         _kinds_before(F.col("_events")).alias("before"),
+                         F.reverse(_kinds_after(F.reverse("_events"))).alias("after"))
+
+    def mention(part: Column) -> Column:
+        span, before = part["span"], F.lower(F.right(part["gap"], F.lit(CONTEXT_CHARS)))
         words = F.filter(F.split(before, r"\s+"), lambda w: w != "")
-        inside = F.filter("base", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"]))
         head = F.when(span["value"].rlike(r"^\+[0-9]"), span["value"]).otherwise(F.regexp_extract(span["value"], r"^\S+", 0))
         return F.struct(span["start"].alias("start"), span["end"].alias("end"), span["value"].alias("value"), head.alias("head"),
-                        F.slice(F.reverse(words), 1, 2).alias("context"), F.get(inside, F.lit(0))["kind"].alias("kind"))
-    return rows.select("doc_id", "row", "base", F.transform("_mention", mention).alias("mentions"))
+                        F.slice(F.reverse(words), 1, 2).alias("context"), F.least(part["before"], part["after"]).alias("kind"))
+    return rows.select("doc_id", "row", "base", F.transform(parts, mention).alias("mentions"))
+
+
+def _in_order(mentions: str, base: str) -> Column:
+    """Base spans and mentions by start, base spans first where they start together; a mention's kind is that of no span."""
+    def event(span: Column, kind: Column) -> Column:
+        return F.struct(span["start"].alias("start"), kind.alias("kind"), span["end"].alias("end"))
+    return F.sort_array(F.concat(F.transform(base, lambda s: event(s, s["kind"])),
+                                 F.transform(mentions, lambda s: event(s, F.lit(len(KINDS))))))
+
+
+def _kinds(events: Column, start: int, place: str, meets: Callable[[Column, Column], Column]) -> Column:
+    """Of each mention, the first kind whose last seen span, known by its ``place``, ``meets`` it; null for none.
+
+    Spans of one kind do not overlap, so of those seen only the last of a kind can reach a mention, and one pass does.
+    """
+    names = [f"k{kind}" for kind in range(len(KINDS))]
+
+    def advance(at: Column, event: Column) -> Column:
+        return F.struct(*[F.when(event["kind"] == kind, event[place]).otherwise(at[name]).alias(name)
+                          for kind, name in enumerate(names)])
+
+    def first(at: Column, event: Column) -> Column:
+        kinds = [F.when(meets(at[name], event), F.lit(kind)) for kind, name in enumerate(names)]
+        return F.struct((event["kind"] == len(KINDS)).alias("mention"), F.coalesce(*kinds).alias("kind"))
+    seen = running(events, advance, first, "struct<mention:boolean,kind:int>", F.struct(*[F.lit(start).alias(n) for n in names]),
+                   f"struct<{','.join(f'{n}:int' for n in names)}>")
+    return F.transform(F.filter(seen, lambda s: s["mention"]), lambda s: s["kind"])
+
+
+def _kinds_before(events: Column) -> Column:
+    """Of each mention, the first kind with a base span that starts no later and ends after its start."""
+    return _kinds(events, 0, "end", lambda end, mention: end > mention["start"])
+
+
+def _kinds_after(backwards: Column) -> Column:
+    """Of each mention, the first kind with a base span that starts inside it; events and results from the last one."""
+    return _kinds(backwards, 2**31 - 1, "start", lambda start, mention: start < mention["end"])
 
 
 def score_values(mentions: DataFrame, rounds: int = ROUNDS, credible: float = CREDIBLE,

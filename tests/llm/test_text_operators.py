@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -46,6 +47,30 @@ def test_base_spans_of_random_texts(spark):
     assert {r.doc_id: r.spans for r in found.collect()} == {k: ",".join(base_spans(t)) for k, t in texts.items()}
 
 
+def test_a_mention_takes_the_first_kind_that_meets_it(spark):
+    random.seed(11)
+    parts = ["a", "b.c", "@", "12", "255", ".", "-", " ", " ", "+1", "(", "4111 1111 1111 1111", "4111111111111111", "x@y.z",
+             "+49 30 1234567", "1.2.3.4", "\n", "947 555-0035", "1.2.3.4@x.y"]
+    rows = [(i, "".join(random.choices(parts, k=random.randint(1, 14)))) for i in range(3000)]
+    scanned = pii.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    met = 0
+    for row in scanned:
+        for m in row.mentions:
+            kinds = [b.kind for b in row.base if b.start < m.end and b.end > m.start]
+            met += len(set(kinds)) > 1
+            assert m.kind == min(kinds, default=None)
+    assert met > 100 and any(len(r.mentions) > 2 for r in scanned)
+
+
+def test_many_addresses_in_one_text(spark):
+    text = " ".join(f"user{i}@mail{i % 9}.org" for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.monotonic()
+    found = pii.find_personal_data(df).select(pii.written(F.col("spans")).alias("spans")).first().spans
+    assert time.monotonic() - start < 30
+    assert found == ",".join(base_spans(text))
+
+
 def test_contexts_find_what_shapes_miss(spark):
     rows = [(i, f"filler {i % 7} my number is {'+1 947 555 %04d' % i if i < 30 else '947 555-%04d' % i} thanks") for i in range(40)]
     rows += [(100 + i, f"the year was 19{10 + i} here") for i in range(30)]
@@ -278,6 +303,18 @@ def test_formatting_reads_back(spark):
     assert chat.format_conversations(df.where("conv_id < 0")).count() == 0
 
 
+def test_many_turns_in_one_conversation(spark):
+    turns = [(1, i, ("user", "assistant", "assistant")[i % 3], f"turn # {i} </turn>") for i in range(20_001)]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    start = time.monotonic()
+    row = chat.loss_spans(chat.format_conversations(df)).select(
+        "formatted", "spans", chat.turns_in(F.col("formatted")).alias("turns")).first()
+    assert time.monotonic() - start < 30
+    assert [tuple(t) for t in row.turns] == [(r, t) for _, _, r, t in turns]
+    assert [row.formatted[s.start:s.end].replace("\\h", "#").replace("\\l", "<") for s in row.spans] == [
+        t for _, _, r, t in turns if r == "assistant"]
+
+
 def test_formatting_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     by = {}
