@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from sendero.operators import communities as co, links as li
 from sendero.operators.colouring import colour
 from sendero.operators.skew import hot_keys, repeat_rows, slice_rows
+from sendero.session import materialize_in_place
 from sendero.sources.readers import load_edges
+from tests.test_plans import settings
 
 TWO_TRIANGLES = [(1, 2), (1, 3), (2, 3), (4, 5), (4, 6), (5, 6), (3, 4)]
 COLD, HOT = 100_000, 3  # rows from which a key is hot: never here, nearly always here
@@ -77,6 +79,35 @@ def test_weights_match_sets(spark, weighting, min_hot_rows):
     assert got == pytest.approx({p: plain_weight(near, *p, weighting) for p in pairs})
 
 
+@pytest.mark.parametrize("cell_edges", [2, 1_000_000])
+def test_lists_are_sent_once_per_cell_not_per_edge(spark, monkeypatch, cell_edges):
+    pairs = sorted({(a, b) for a, b in star_with_chords(90, 13)} | set(combinations(range(100, 130), 2)))
+    near, plans = neighbours(pairs), []
+
+    def noted(df):
+        out = materialize_in_place(df)
+        with settings(spark, **{"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.adaptive.enabled": "false"}):
+            plans.append(df.select("*")._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(co, "CELL_EDGES", cell_edges)
+    monkeypatch.setattr(co, "materialize_in_place", noted)
+    got = {(r.src, r.dst): r.w for r in co.edge_weights(edges_of(spark, pairs)).collect()}
+    assert got == {p: plain_weight(near, *p, "overlap") for p in pairs}
+    if cell_edges > len(pairs):  # one cell
+        return
+    moved = [line for line in plans[0].split("\n") if "Exchange" in line]
+    assert "ShuffledHashJoin [cell#" in plans[0] and len(moved) == 3  # both sides by cell alone, and the sides of triangles
+    assert sum("hashpartitioning(cell#" in line and line.count("#") <= 3 for line in moved) == 2
+
+
+def test_cells_stay_bounded_and_few():
+    for edges in (10**7, 10**8, 6 * 10**8, 10**10):
+        blocks, slices = co._cells(edges, 12)
+        assert edges / blocks**2 <= co.CELL_EDGES and blocks**2 * slices >= 36
+    assert co._cells(0, 12) == co._cells(10, 12) == (1, 1)
+    assert co._cells(10**8, 12) == (4, 3) and co._cells(6 * 10**8, 12) == (5, 2)  # each list goes out 11 and 12 times
+
+
 def plain_round(near, labels, weight):
     picked = {}
     for v in near:
