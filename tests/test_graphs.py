@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sendero.operators import communities as co, links as li
 from sendero.operators.colouring import colour
 from sendero.operators.skew import hot_keys, repeat_rows, slice_rows
+from sendero.plans import graphs
 from sendero.session import materialize_in_place
 from sendero.sources.readers import load_edges
 from tests.test_plans import settings
@@ -57,6 +58,22 @@ def test_edges_collapse(spark, tmp_path):
     assert sorted(map(tuple, co.symmetrize(edges).collect())) == [(1, 2), (2, 1), (3, 3)]
 
 
+def test_edges_collapse_in_tasks_of_bounded_size(spark):
+    links = spark.createDataFrame([(2, 1), (1, 2), (None, 2), (3, 3)], "a bigint, b bigint")
+    many = co.undirected_edges(links, "a", "b", 6 * 10**8)
+    assert "hashpartitioning(src#" in (plan := many._jdf.queryExecution().executedPlan().toString())
+    assert ", 150)" in plan and plan.count("Exchange") == 1
+    assert sorted(map(tuple, co.undirected_edges(links, "a", "b").collect())) == [(1, 2), (3, 3)]
+
+
+def test_many_sales_meet_in_tasks_of_bounded_size(spark, sf_dir, monkeypatch):
+    few = graphs.sales(spark, sf_dir)
+    monkeypatch.setattr(graphs, "ROWS_PER_PART", 500)
+    many = graphs.sales(spark, sf_dir)
+    assert ", 4)" not in many._jdf.queryExecution().executedPlan().toString()  # the session's partitions
+    assert Counter(map(tuple, many.collect())) == Counter(map(tuple, few.collect()))
+
+
 def test_two_triangles(spark):
     edges = edges_of(spark, TWO_TRIANGLES)
     third, quarter = pytest.approx(1 / 3), pytest.approx(1 / 4)
