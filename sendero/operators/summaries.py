@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sendero.session import materialize
 
+#: Groups whose aggregates every task may hold.
+FEW_GROUPS = 1_000
+
 
 def numeric_columns(df: DataFrame, *kinds: str) -> list[str]:
     """Names of numeric columns, or of those whose type is one of ``kinds`` ("int", "double", ...)."""
@@ -64,11 +67,13 @@ def correlations(df: DataFrame, target: str, columns: list[str] | None = None) -
 def with_group_stats(df: DataFrame, keys: list[str], *stats: Column) -> DataFrame:
     """Aggregates of each row's group beside the row; rows of one group stay spread over tasks.
 
-    The aggregates are written out first: then both join sides are plain exchanges, so Spark broadcasts
-    the aggregates if they turn out small and splits a hot group if they do not. A NULL key is a group.
+    The aggregates are written out first. If they are few, each task gets them all and the rows stay where they are; if
+    not, Spark splits a hot group. A NULL key is a group.
     """
     named = {k: f"_{k}" for k in keys}
     per_group = materialize(df.groupBy(*keys).agg(*stats)).withColumnsRenamed(named)
+    if len(per_group.take(FEW_GROUPS + 1)) <= FEW_GROUPS:
+        per_group = F.broadcast(per_group)
     same = [F.col(k).eqNullSafe(F.col(v)) for k, v in named.items()]
     return df.join(per_group, same).drop(*named.values())
 

@@ -56,6 +56,14 @@ def test_spark_splits_a_hot_group_of_with_group_stats(spark, third_in_one_key):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_rows_of_few_groups_stay_where_they_are(spark):
+    rows = spark.range(0, 3000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("x"))
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}):
+        centered = center(rows, "k", "x")
+        assert "hashpartitioning" not in plan_after_run(centered)
+    assert centered.agg(F.max("centered"), F.count("*")).first() == (1498.5, 3000)
+
+
 def test_spark_splits_a_hot_order(spark, third_in_one_key, tmp_path):
     third_in_one_key.select(F.col("k").alias("l_orderkey"), F.col("x").alias("l_partkey"), F.col("x").alias("l_suppkey")
                             ).write.parquet(f"{tmp_path}/lineitem.parquet")
