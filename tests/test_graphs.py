@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sendero import session
 from sendero.operators import communities as co, links as li
 from sendero.operators.colouring import colour
 from sendero.operators.skew import hot_keys, repeat_rows, slice_rows
@@ -266,6 +267,20 @@ def plain_ranks(pairs, rounds=20, reset=0.01):
     return {v: r * scale for v, r in rank.items()}
 
 
+def test_rounds_take_more_partitions_when_rows_do(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_PART", 50)
+    kind, seen = type(spark.range(1)), set()
+    run = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, eager=True: seen.add(int(spark.conf.get("spark.sql.shuffle.partitions"))) or run(df, eager))
+    pairs = star_with_chords(40, 9) + [(0, 99)]
+    got = dict(map(tuple, li.page_rank(edges_of(spark, pairs), rounds=2, number=600).collect()))
+    assert got == pytest.approx(plain_ranks(pairs, rounds=2)) and seen == {4, 12}  # 3 parts of 121 edges are fewer than 4
+    labels = dict(map(tuple, co.multigraph_labels(edges_of(spark, pairs), rounds=1, number=600).collect()))
+    monkeypatch.undo()
+    assert max(seen) == 24 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert labels == dict(map(tuple, co.multigraph_labels(edges_of(spark, pairs), rounds=1).collect()))
+
+
 def test_small_directed(spark):
     pairs = [(1, 2), (2, 3), (3, 1), (1, 3)]
     got = dict(map(tuple, li.page_rank(edges_of(spark, pairs)).collect()))
