@@ -115,6 +115,23 @@ def test_near_duplicates_when_the_largest_component_changes(spark, monkeypatch):
     assert got == brute_components(docs, 80)
 
 
+def test_pairs_of_large_buckets_that_cannot_be_linked_need_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(near_dups, "FIRST_ROUND", 1)
+    sent, confirm = [], near_dups.confirm
+
+    def counted(pairs, *rest):
+        sent.append(pairs.count())
+        return confirm(pairs, *rest)
+    monkeypatch.setattr(near_dups, "confirm", counted)
+    words = [f"w{i}" for i in range(100)]
+    texts = [words[:5 + i] + [f"x{i}"] + words[6 + i:] for i in range(0, 85, 2)]  # two share 86 to 90 of 106 to 102 shingles
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: tuple(r)[1:] for r in near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), percent=89).collect()}
+    assert got == brute_components(docs, 89)
+    assert sent[0] > 0 and sent[-1] == 0
+
+
 def test_near_duplicates_of_edge_cases(spark, edge_docs, no_docs):
     got = sorted(((r.doc_id or 0, *tuple(r)[1:]) for r in near_duplicates(edge_docs).collect()), key=str)
     want = brute_components([(k, t) for k, t in EDGE_TEXTS if k is not None], 80)
