@@ -132,3 +132,22 @@ def test_grid_search_prefers_the_first_of_equals(spark, planted):
     assert le.best_trial(trials).first().depth == 5
     same = spark.createDataFrame([(0, 0.7, 3, 0.5), (1, 0.7, 4, 0.9), (2, 0.8, 3, 0.9)], trials.schema)
     assert le.best_trial(same).first().trial == 1
+
+
+def test_boosting_fits_rows_of_equal_features_once(spark, monkeypatch):
+    fitted, learner = [], le.GBTRegressor
+
+    class Counted(learner):
+        def fit(self, rows):
+            fitted.append(rows.count())
+            return super().fit(rows)
+    monkeypatch.setattr(le, "GBTRegressor", Counted)
+    rows = le.assemble(spark.range(0, 4000, 1, 4).select(
+        (F.col("id") % 7).alias("x"), (F.col("id") % 5).alias("y"),
+        (F.col("id") % 7 * 3 + F.pow(F.col("id") % 5, F.lit(2.0)) + F.col("id") % 11 / 10).alias("label")), ["x", "y"])
+    found = le.boosted_regressor(rows, "label", 5).transform(rows)
+    plain = learner(featuresCol="features", labelCol="label", maxIter=5, seed=3).fit(rows).transform(rows)
+    assert fitted == [35]
+    by_features = {tuple(r.features): r.prediction for r in plain.select("features", "prediction").distinct().collect()}
+    for r in found.select("features", "prediction").distinct().collect():
+        assert abs(r.prediction - by_features[tuple(r.features)]) < 1e-9
