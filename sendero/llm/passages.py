@@ -161,8 +161,9 @@ def _locate(shard: pa.Table, size: int) -> pa.Table:
 
 def _wanted(docs: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
     """``(doc_id, row, cold, hot)``: the recurring anchors of the rows ``firsts (doc_id, row)``."""
-    found = _anchor_rows(docs, size)
-    recurring = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Counted and joined where they lie: both need the same columns and rows, so that Spark makes them once.
+    found = _anchor_rows(docs, size).where("doc_id is not null and anchor is not null").repartition("anchor")
+    recurring = found.groupBy("anchor").agg(F.count("doc_id").alias("n")).where("n > 1")
     hits = found.join(recurring, "anchor").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("n") <= HOT, F.col("anchor"))).alias("cold"),
         F.collect_list(F.when(F.col("n") > HOT, F.col("anchor"))).alias("hot"))

@@ -8,6 +8,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sendero.llm import near_dups, passages, queries
 from sendero.llm.near_dups import components, near_duplicates
@@ -168,3 +169,11 @@ def test_queries(spark, sf_dir, documents):
     assert near == brute_components(documents, 85)
     left = {r.doc_id: tuple(r)[1:] for r in queries.op4_phrase_automata(spark, sf_dir).collect()}
     assert left == {k: (n, gone, hashlib.sha256(kept).hexdigest()) for k, (n, gone, kept) in brute_kept(documents).items()}
+
+
+def test_anchors_are_made_once(spark, monkeypatch):
+    monkeypatch.setattr(passages, "materialize", lambda df: df)
+    docs = spark.createDataFrame(copies(4, 50), "doc_id bigint, text string")
+    wanted = passages._wanted(docs, docs.select("doc_id", F.lit(1).alias("row")), 13)
+    assert wanted.count() and wanted.collect()
+    assert "ReusedExchange" in wanted._jdf.queryExecution().executedPlan().toString()
