@@ -139,8 +139,10 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
 def components(links: DataFrame) -> DataFrame:
     """``(doc_id, component)``: the smallest id each linked document reaches. ``links (a, b)`` in either direction.
 
-    Every round takes the smallest label around, then the label of that label, so long chains shorten by halves.
+    Every round takes the smallest label around, then the label of that label, so long chains shorten by halves. What the
+    driver and the disk hold of a round is let go after it.
     """
+    spark = links.sparkSession
     ways = materialize(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = materialize(ways.groupBy(F.col("a").alias("doc_id"))
                          .agg(F.least(F.col("a"), F.min("b")).alias("component")))
@@ -151,10 +153,26 @@ def components(links: DataFrame) -> DataFrame:
         up = labels.select(F.col("doc_id").alias("low"), F.col("component").alias("lowest"))
         moved = materialize(lower.join(up, "low").select("doc_id", F.least("low", "lowest").alias("to"), "component"))
         labels = moved.select("doc_id", F.col("to").alias("component"))
-        if moved.where(F.col("to") != moved["component"]).isEmpty():
+        done = moved.where(F.col("to") != moved["component"]).isEmpty()
+        del around, lower, up, moved
+        drop_finished_shuffles(spark)
+        if done:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels (doc_id, component)`` of all documents after more ``links (a, b)`` between them.
+
+    Only components that the new links touch are gone through, each as one vertex, however many documents it has.
+    """
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(labels.select(F.col("doc_id").alias(end), F.col("component").alias(f"of_{end}")), end)
+    between = ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).where("a != b").distinct()
+    into = components(between).select(F.col("doc_id").alias("component"), F.col("component").alias("to"))
+    return materialize(labels.join(into, "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")))
+
+
 def _first_shared(x: Column, y: Column) -> Column:
     """The first band in which two documents meet: there, and in no other bucket, their pair is looked at."""
     return F.array_position(F.zip_with(x, y, lambda a, b: a == b), F.lit(True)) - 1
@@ -302,11 +320,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     whole.join(family, "doc_id").dropDuplicates(["doc_id", "text"]).write.parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
 
-    def placed(links: DataFrame, members: DataFrame = shared) -> DataFrame:
+    drop_finished_shuffles(spark)
+
+    def placed(labels: DataFrame, members: DataFrame = shared) -> DataFrame:
         """Those of ``members`` whose buckets still hold several components, with all that pairs are judged by."""
-        rows = (members.join(components(links), "doc_id", "left")
-                .withColumn("component", F.coalesce("component", "doc_id")))
-        found = materialize(_open_buckets(rows).join(signatures, "doc_id"))
+        found = materialize(_open_buckets(members.join(labels, "doc_id")).join(signatures, "doc_id"))
         drop_finished_shuffles(spark)
         return found
 
@@ -316,18 +334,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
         return found
 
     first = shared.groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")).where("a != b")
-    links = confirmed(first)
-    links = links.union(confirmed(_pairs_with_leaders(placed(links), low)))
-    waiting = placed(links)
+    labels = merged(family.withColumn("component", F.col("doc_id")), confirmed(first))
+    labels = merged(labels, confirmed(_pairs_with_leaders(placed(labels), low)))
+    waiting = placed(labels)
     put_off = materialize(waiting.where(F.col("n") > BLOCK_ROWS).select(*shared.columns, "outside", "apart"))
     pairs = _pairs_in_large(waiting, low, (0, FIRST_ROUND), texts, size, percent).union(_pairs_in_small(waiting, low))
-    links = links.union(confirmed(pairs.distinct()))
+    labels = merged(labels, confirmed(pairs.distinct()))
     del waiting, pairs
-    pairs = _pairs_in_large(placed(links, put_off), low, (FIRST_ROUND, None), texts, size, percent)
-    links = links.union(confirmed(pairs.distinct()))
+    pairs = _pairs_in_large(placed(labels, put_off), low, (FIRST_ROUND, None), texts, size, percent)
+    labels = merged(labels, confirmed(pairs.distinct()))
     del pairs
-    parts = components(links)
-    reached = classes.join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
+    reached = classes.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "content", F.coalesce("component", "rep").alias("component"))
     out = signed.join(reached, "content", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

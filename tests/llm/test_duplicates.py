@@ -146,6 +146,27 @@ def test_components_of_a_long_path(spark):
     assert got == dict.fromkeys(range(61), 0) | {99: 99, 100: 99}
 
 
+def test_later_links_go_through_touched_components_only(spark, monkeypatch):
+    links = [(i, i + 1) for i in range(20) if i != 9] + [(30, 31)]
+    labels = near_dups.materialize(components(spark.createDataFrame(links, "a bigint, b bigint"))
+                                   .union(spark.createDataFrame([(40, 40)], "doc_id bigint, component bigint")))
+    seen = []
+    monkeypatch.setattr(near_dups, "components", lambda found: seen.extend(found.collect()) or components(found))
+    more = spark.createDataFrame([(12, 3), (15, 2), (1, 0), (40, 20)], "a bigint, b bigint")
+    got = {r.doc_id: r.component for r in near_dups.merged(labels, more).collect()}
+    assert got == dict.fromkeys([*range(21), 40], 0) | {30: 30, 31: 30}
+    assert sorted(map(tuple, seen)) == [(10, 0), (40, 10)]
+
+
+def test_all_linked_at_first_leaves_no_links_to_go_through(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    docs = [(k, " ".join([*words[:-1], f"end{k}"])) for k in range(12)]
+    seen = []
+    monkeypatch.setattr(near_dups, "components", lambda found: seen.append(found.count()) or components(found))
+    got = {r.component_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {0} and seen[0] == 11 and not any(seen[1:])
+
+
 @pytest.mark.parametrize("hot, phrases", [(passages.HOT, passages.PHRASES), (2, 7)])
 def test_repeats_of_a_chain(spark, monkeypatch, hot, phrases):
     monkeypatch.setattr(passages, "HOT", hot)
