@@ -16,6 +16,7 @@ window covers.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -129,16 +130,22 @@ def _segments(rows: DataFrame, size: int) -> DataFrame:
 def _locate(shard: pa.Table, size: int) -> pa.Table:
     """``(shard_key, mark, firsts)``: per window of a segment the first document that holds it.
 
-    ``shard (shard_key, segment, first)`` holds distinct segments and the first document of each.
+    ``shard (shard_key, segment, first)`` holds distinct segments and the first document of each. Equal windows have equal
+    keys, so a segment that has its key alone shares none and goes through no automaton.
     """
     keys, segments, own_first = (shard.column(c).to_pylist() for c in ("shard_key", "segment", "first"))
     many = np.array(shard.column("copies").to_pylist()) > 1
+    number = Counter(keys)
     phrases: dict[bytes, int] = {}
     recurring: set[bytes] = set()
-    places = []
-    for segment, first, copied in zip(segments, own_first, many):
+    places, met = [], []
+    for key, segment, first, copied in zip(keys, segments, own_first, many.tolist()):
+        if number[key] == 1:
+            places.append(segment.count(b" ") + 2 - size)
+            continue
         words = segment.split(b" ")
         places.append(len(words) - size + 1)
+        met.append(len(places) - 1)
         for i in range(places[-1]):
             phrase = b" ".join(words[i:i + size])
             if copied or phrase in phrases:
@@ -151,10 +158,13 @@ def _locate(shard: pa.Table, size: int) -> pa.Table:
         for phrase in confirmed[at:at + PHRASES]:
             automaton.add_word(" %s " % phrase.decode("latin-1"), phrases[phrase])
         automaton.make_automaton()
-        for found, segment in zip(firsts, segments):
+        for found, segment in ((firsts[i], segments[i]) for i in met):
             text = " %s " % segment.decode("latin-1")
+            blanks, counted = 0, 0
             for end, first in automaton.iter(text):
-                found[text.count(" ", 0, end) - size] = first
+                blanks += text.count(" ", counted, end)
+                counted = end
+                found[blanks - size] = first
     return pa.table({"shard_key": pa.array(keys, pa.int64()), "mark": pa.array(map(_mark, segments), pa.binary()),
                      "firsts": pa.array(firsts, pa.list_(pa.int64()))})
 

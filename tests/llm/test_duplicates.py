@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,24 @@ def test_anchors_are_made_once(spark, monkeypatch):
     wanted = passages._wanted(docs, docs.select("doc_id", F.lit(1).alias("row")), 13)
     assert wanted.count() and wanted.collect()
     assert "ReusedExchange" in wanted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_segments_alone_with_their_key_go_through_no_automaton(monkeypatch):
+    streamed = []
+
+    class Recorded:
+        def __init__(self):
+            self.own = automaton()
+            self.add_word, self.make_automaton = self.own.add_word, self.own.make_automaton
+
+        def iter(self, text):
+            streamed.append(text)
+            return self.own.iter(text)
+    automaton = passages.ahocorasick.Automaton
+    monkeypatch.setattr(passages.ahocorasick, "Automaton", Recorded)
+    words = [f"w{i}" for i in range(40)]
+    alone, one, two = " ".join(words[20:]).encode(), " ".join(words[:14]).encode(), " ".join(words[1:16]).encode()
+    shard = pa.table({"shard_key": [1, 2, 2], "segment": [alone, one, two], "first": [4, 7, 5], "copies": [3, 1, 1]})
+    located = passages._locate(shard, 13)
+    assert located["firsts"].to_pylist() == [[4] * 8, [7, 5], [5] * 3]
+    assert streamed == [" %s " % s.decode() for s in (one, two)]
