@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sendero.llm.batches import by_bytes
 from sendero.llm.scratch import drop_finished_shuffles
 from sendero.llm.shingles import mix, ranges, shingle_sets
-from sendero.session import materialize, table_path
+from sendero.session import compacted, materialize, table_path
 
 BANDS, ROWS = 32, 4
 #: Minima of a set; the first ``BANDS * ROWS`` of them make the bands, all of them the estimate.
@@ -37,6 +37,8 @@ FIRST_ROUND = 8
 #: Most shingles of which prints are kept; pairs of a larger set go by the estimate alone.
 MAX_PRINTS = 8192
 EVEN_BITS = 0x5555555555555555
+#: Bucket members with signatures, and pairs with texts, that are worth a task.
+MEMBERS_PER_PART, PAIRS_PER_PART = 50_000, 2_000
 
 _random = np.random.default_rng(5)
 FACTORS = _random.integers(0, 2**32, MINIMA, np.uint32) | np.uint32(1)
@@ -116,8 +118,8 @@ def prints(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(low_bits, "doc_id bigint, set_size bigint, prints binary")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The ``pairs (a, b)`` whose full sets have ``100 * shared >= percent * all``. ``texts``: ``(doc_id, text)``."""
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int, documents: int) -> DataFrame:
+    """The ``pairs (a, b)`` whose full sets have ``100 * shared >= percent * all``. ``texts``: ``(doc_id, text)`` of so many ``documents``."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for batch in by_bytes(batches, "text_a"):
@@ -133,25 +135,31 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
             yield batch.select(["a", "b"]).filter(pa.array(keep))
     first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint")
+    return (compacted(both.select("a", "b", "text_a", "text_b"), documents, PAIRS_PER_PART)
+            .mapInArrow(exact, "a bigint, b bigint"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """``(doc_id, component)``: the smallest id each linked document reaches. ``links (a, b)`` in either direction.
 
     Every round takes the smallest label around, then the label of that label, so long chains shorten by halves. What the
-    driver and the disk hold of a round is let go after it.
+    driver and the disk hold of a round is let go after it. ``links`` are read twice, so they should be materialized; tables are
+    as many files as the links take.
     """
     spark = links.sparkSession
-    ways = materialize(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = materialize(ways.groupBy(F.col("a").alias("doc_id"))
-                         .agg(F.least(F.col("a"), F.min("b")).alias("component")))
+    number = links.count()
+    if not number:
+        return links.select(F.col("a").alias("doc_id"), F.col("b").alias("component"))
+    ways = materialize(compacted(links.select("a", "b").union(links.select("b", "a")).distinct(), 2 * number))
+    labels = materialize(compacted(ways.groupBy(F.col("a").alias("doc_id"))
+                                   .agg(F.least(F.col("a"), F.min("b")).alias("component")), 2 * number))
     while True:
         around = (ways.join(labels.withColumnRenamed("doc_id", "b"), "b")
                   .groupBy(F.col("a").alias("doc_id")).agg(F.min("component").alias("near")))
         lower = labels.join(around, "doc_id").select("doc_id", "component", F.least("component", "near").alias("low"))
         up = labels.select(F.col("doc_id").alias("low"), F.col("component").alias("lowest"))
-        moved = materialize(lower.join(up, "low").select("doc_id", F.least("low", "lowest").alias("to"), "component"))
+        moved = materialize(compacted(lower.join(up, "low").select("doc_id", F.least("low", "lowest").alias("to"), "component"),
+                                      2 * number))
         labels = moved.select("doc_id", F.col("to").alias("component"))
         done = moved.where(F.col("to") != moved["component"]).isEmpty()
         del around, lower, up, moved
@@ -168,9 +176,11 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     ends = links
     for end in ("a", "b"):
         ends = ends.join(labels.select(F.col("doc_id").alias(end), F.col("component").alias(f"of_{end}")), end)
-    between = ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).where("a != b").distinct()
+    between = materialize(compacted(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).where("a != b").distinct(),
+                                    links.count()))
     into = components(between).select(F.col("doc_id").alias("component"), F.col("component").alias("to"))
-    return materialize(labels.join(into, "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")))
+    return materialize(compacted(labels.join(into, "component", "left").select(
+        "doc_id", F.coalesce("to", "component").alias("component")), labels.count()))
 
 
 def _first_shared(x: Column, y: Column) -> Column:
@@ -235,7 +245,8 @@ def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int |
     whatever has been joined meanwhile.
     """
     large = open_members.where(F.col("n") > BLOCK_ROWS)
-    shown = prints(texts.join(large.select("doc_id").distinct(), "doc_id"), size)
+    number = large.count()
+    shown = prints(compacted(texts.join(large.select("doc_id").distinct(), "doc_id"), number, PAIRS_PER_PART), size)
 
     def blocks(n: str) -> Column:
         return F.ceil(F.col(n) / BLOCK_ROWS)
@@ -246,7 +257,7 @@ def _pairs_in_large(open_members: DataFrame, low: float, ranks: tuple[int, int |
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), blocks(n) - 1))
     columns = ["band", "doc_id", "component", "bands", "packed", "set_size", "prints"]
-    rows = materialize(large.join(shown, "doc_id"))
+    rows = materialize(compacted(large.join(shown, "doc_id"), number, MEMBERS_PER_PART))
     outside = rows.where("outside").select("bucket", block("apart").alias("i"), every("n").alias("j"), *columns)
     inside = rows.select(F.col("bucket").alias("bucket"), every("apart").alias("i"), block("n").alias("j"),
                          *[F.col(c).alias(c) for c in columns])  # columns of their own, not shared with the other side
@@ -308,14 +319,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     sign(docs, size, key, text).write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     filled = signed.where("content is not null and doc_id is not null")
-    classes = materialize(filled.groupBy("content").agg(F.min("doc_id").alias("rep")))
+    documents = signed.count()
+    classes = materialize(compacted(filled.groupBy("content").agg(F.min("doc_id").alias("rep")), documents))
     reps = (filled.join(classes, "content").where("doc_id = rep").dropDuplicates(["doc_id", "content"])
             .select("doc_id", "bands", "packed"))
     members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(members.join(buckets.select("bucket", "b"), "bucket"))
-    family = materialize(shared.select("doc_id").distinct())
-    signatures = materialize(reps.join(family, "doc_id"))
+    shared = materialize(compacted(members.join(buckets.select("bucket", "b"), "bucket"), BANDS * documents, MEMBERS_PER_PART))
+    family = materialize(compacted(shared.select("doc_id").distinct(), documents))
+    signatures = materialize(compacted(reps.join(family, "doc_id"), documents, MEMBERS_PER_PART))
     whole = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
     whole.join(family, "doc_id").dropDuplicates(["doc_id", "text"]).write.parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
@@ -324,12 +336,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
 
     def placed(labels: DataFrame, members: DataFrame = shared) -> DataFrame:
         """Those of ``members`` whose buckets still hold several components, with all that pairs are judged by."""
-        found = materialize(_open_buckets(members.join(labels, "doc_id")).join(signatures, "doc_id"))
+        found = materialize(compacted(_open_buckets(members.join(labels, "doc_id")).join(signatures, "doc_id"),
+                                      members.count(), MEMBERS_PER_PART))
         drop_finished_shuffles(spark)
         return found
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        found = materialize(confirm(pairs, texts, size, percent))
+        found = materialize(confirm(pairs, texts, size, percent, documents))
         drop_finished_shuffles(spark)
         return found
 
@@ -337,7 +350,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     labels = merged(family.withColumn("component", F.col("doc_id")), confirmed(first))
     labels = merged(labels, confirmed(_pairs_with_leaders(placed(labels), low)))
     waiting = placed(labels)
-    put_off = materialize(waiting.where(F.col("n") > BLOCK_ROWS).select(*shared.columns, "outside", "apart"))
+    put_off = materialize(compacted(waiting.where(F.col("n") > BLOCK_ROWS).select(*shared.columns, "outside", "apart"),
+                                    BANDS * documents, MEMBERS_PER_PART))
     pairs = _pairs_in_large(waiting, low, (0, FIRST_ROUND), texts, size, percent).union(_pairs_in_small(waiting, low))
     labels = merged(labels, confirmed(pairs.distinct()))
     del waiting, pairs

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sendero.llm.arrays import running
-from sendero.session import materialize, table_path
+from sendero.session import compacted, materialize, table_path
 
 # Kinds in their order, and the shapes. Loops are possessive and starts are anchored so that no long run
 # of letters or digits is read more than once; the matches are those of the plain patterns.
@@ -156,6 +156,7 @@ def score_values(mentions: DataFrame, rounds: int = ROUNDS, credible: float = CR
     edges = (mentions.select("value", "kind", F.explode(patterns).alias("pattern")).where("pattern is not null")
              .groupBy("pattern", "value").agg(F.max("kind").alias("kind")))
     edges = materialize(edges)
+    number = edges.count()
     width = edges.groupBy("pattern").agg(F.count("*").alias("width"))
     seeds = edges.where("kind is not null").select("pattern", "value", "kind", F.lit(1.0).alias("score"))
     scored = None
@@ -166,9 +167,9 @@ def score_values(mentions: DataFrame, rounds: int = ROUNDS, credible: float = CR
         trusted = (known.groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.count("*").alias("n"))
                    .join(width, "pattern").withColumn("trust", F.col("sum") / (F.col("width") + 1))
                    .where((F.col("n") >= support) & (F.col("trust") >= credible)).select("pattern", "kind", "trust"))
-        scored = materialize(
+        scored = materialize(compacted(
             edges.where("kind is null").select("pattern", "value").join(trusted, "pattern").groupBy("value", "kind")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score")))
+            .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score")), number))
     best = scored.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"),
                                        F.max("score").alias("score"))
     return best.where(F.col("score") >= credible).select("value", "kind")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sendero.llm.batches import by_bytes
-from sendero.session import materialize
+from sendero.session import compacted, materialize
 
 # The grammar's function words.
 THREATS = "kill hurt destroy beat punch shoot stab burn hang attack".split()
@@ -247,8 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     texts = docs.select(docs[key].cast("bigint").alias("_key"), docs[text].alias("text"))
     rows = texts.join(F.broadcast(chosen), "_key").withColumn("_fold", fold("_key"))
     weights = learn_weights(rows.where("_fold = 0").select("text", "toxic"))
-    cells = materialize(clause_features(rows.where("_fold = 2"), weights, ["toxic"])
-                        .groupBy("toxic", "strongest", "summed").agg(F.count("*").alias("n")))
+    cells = materialize(compacted(clause_features(rows.where("_fold = 2"), weights, ["toxic"])
+                                  .groupBy("toxic", "strongest", "summed").agg(F.count("*").alias("n")), sample))
     if not weights or cells.isEmpty():
         return weights, [-2.0, 1.0, 0.0]
     return weights, fit_logistic(cells)

@@ -220,3 +220,26 @@ def test_segments_alone_with_their_key_go_through_no_automaton(monkeypatch):
     located = passages._locate(shard, 13)
     assert located["firsts"].to_pylist() == [[4] * 8, [7, 5], [5] * 3]
     assert streamed == [" %s " % s.decode() for s in (one, two)]
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """As many files as the rows take, not as the session has shuffle partitions."""
+    def counted(df, *rest):
+        found = materialize(df, *rest)
+        parts.append(found.rdd.getNumPartitions())
+        return found
+    parts, materialize = [], near_dups.materialize
+    monkeypatch.setattr(near_dups, "materialize", counted)
+    docs = copies(4, 60)
+    held = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        groups = near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), percent=85)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in groups.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == brute_components(docs, 85)
+    assert max(parts) <= spark.sparkContext.defaultParallelism < 23
