@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter, defaultdict
 from hashlib import md5
 from itertools import combinations
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sendero import session
-from sendero.operators import communities as co, links as li
+from sendero.operators import cells, communities as co, links as li
 from sendero.operators.colouring import colour
 from sendero.operators.skew import hot_keys, repeat_rows, slice_rows
 from sendero.plans import graphs
@@ -295,6 +296,46 @@ def test_page_rank_with_sink_source_repeats_and_hub(spark, min_hot_rows):
     assert got == pytest.approx(plain_ranks(pairs, rounds=7)) and sum(got.values()) == pytest.approx(len(got))
 
 
+def held(spark):
+    """Tables of checkpoints, and shuffles that have files."""
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return ({os.path.join(d, x) for d, kept, _ in os.walk(root) for x in kept if x.startswith("rdd-")},
+            {b.split("_")[1] for b in blocks.split() if b.startswith("shuffle_")})
+
+
+def few_rows_per_table(monkeypatch, rows):
+    """Several tables of cells, of as many partitions as cores."""
+    monkeypatch.setattr(session, "ROWS_PER_PART", rows)
+    monkeypatch.setattr(cells, "MIN_TABLE_PARTS", 1)
+
+
+@pytest.mark.parametrize("min_hot_rows", [COLD, HOT])
+def test_page_rank_in_several_tables(spark, monkeypatch, min_hot_rows):
+    pairs = [p for p in star_with_chords(seed=9)] + [(5, 0)] * 4 + [(0, 99), (98, 0)]
+    few_rows_per_table(monkeypatch, 8)  # 186 links in tables of 64
+    seen = []
+    place = li.place
+    monkeypatch.setattr(li, "place", lambda *a: seen.append(place(*a)) or seen[-1])
+    got = dict(map(tuple, li.page_rank(edges_of(spark, pairs), rounds=3, min_hot_rows=min_hot_rows).collect()))
+    assert len(seen[0]) == 3 and got == pytest.approx(plain_ranks(pairs, rounds=3))
+
+
+def test_page_rank_tells_names_of_equal_keys_apart(spark, monkeypatch):
+    pairs = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]
+    monkeypatch.setattr(li, "short_key", lambda name: F.length(name))
+    got = dict(map(tuple, li.page_rank(spark.createDataFrame(pairs, "src string, dst string"), rounds=4).collect()))
+    assert got == pytest.approx(plain_ranks(pairs, rounds=4))
+
+
+def test_page_rank_leaves_no_files_of_its_rounds(spark):
+    links = edges_of(spark, star_with_chords(seed=9))
+    tables, shuffles = held(spark)
+    li.page_rank(links, rounds=5)
+    after = held(spark)
+    assert len(after[0] - tables) <= 3 and len(after[1] - shuffles) <= 2  # the last ranks, their names and the hot keys
+
+
 def test_names_to_vertices_and_edges(spark):
     raw = spark.createDataFrame([("a.com", "b.com"), ("a.com", "b.com"), (None, "b.com"), ("c.com", None)], "p string, c string")
     links = li.named_links(raw, "p", "c")
