@@ -336,6 +336,42 @@ def test_page_rank_leaves_no_files_of_its_rounds(spark):
     assert len(after[0] - tables) <= 3 and len(after[1] - shuffles) <= 2  # the last ranks, their names and the hot keys
 
 
+@pytest.mark.parametrize("min_hot_rows", [COLD, HOT])
+def test_labels_in_several_tables(spark, monkeypatch, min_hot_rows):
+    pairs = star_with_chords(seed=14) + [(0, 1), (5, 0)]
+    near = defaultdict(Counter)
+    for a, b in pairs:
+        near[a][b] += 1
+        near[b][a] += 1
+    want = {v: v for v in near}
+    for _ in range(3):
+        want = plain_round(near, want, lambda u, v: near[v][u])
+    few_rows_per_table(monkeypatch, 8)  # 364 rows in tables of 64
+    tables, shuffles = held(spark)
+    got = co.multigraph_labels(edges_of(spark, pairs), rounds=3, min_hot_rows=min_hot_rows, number=len(pairs))
+    after = held(spark)
+    assert dict(map(tuple, got.collect())) == want
+    assert len(after[0] - tables) <= 8 and len(after[1] - shuffles) <= 2  # the last labels by table, vertices, hot keys
+
+
+def test_every_cell_has_a_partition_of_its_own(spark):
+    arcs = co.symmetrize(edges_of(spark, star_with_chords(200, 15))).withColumn("w", F.lit(1))
+    placed, = cells.place(arcs, hot_keys(arcs.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("n")), "v"), arcs.count())
+    assert placed.arcs.select("cell", F.spark_partition_id().alias("p")).distinct().select("p").distinct().count() == placed.parts > 1
+    placed.release()
+
+
+@pytest.mark.parametrize("pass_edges", [1, 100])
+def test_weights_in_several_passes(spark, monkeypatch, pass_edges):
+    pairs = star_with_chords(90, 13)
+    near, passes = neighbours(pairs), []
+    monkeypatch.setattr(co, "CELL_EDGES", 20)
+    monkeypatch.setattr(co, "PASS_EDGES", pass_edges)
+    monkeypatch.setattr(co, "materialize_in_place", lambda df: passes.append(1) or materialize_in_place(df))
+    got = {(r.src, r.dst): r.w for r in co.edge_weights(edges_of(spark, pairs)).collect()}
+    assert got == {p: plain_weight(near, *p, "overlap") for p in pairs} and len(passes) > 1
+
+
 def test_names_to_vertices_and_edges(spark):
     raw = spark.createDataFrame([("a.com", "b.com"), ("a.com", "b.com"), (None, "b.com"), ("c.com", None)], "p string, c string")
     links = li.named_links(raw, "p", "c")
